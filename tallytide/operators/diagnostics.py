@@ -41,10 +41,9 @@ TREND_STATIONARY, INCONCLUSIVE = "TREND-STATIONARY", "INCONCLUSIVE"
 
 
 def _known(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    columns = dict.fromkeys([*spec.key, *spec.order_by])
-    columns.pop(spec.value, None)
+    """Key, order and the known values as ``_y``."""
     value = F.col(spec.value).cast("double").alias("_y")
-    return df.filter(F.col(spec.value).isNotNull()).select(*columns, value)
+    return df.filter(F.col(spec.value).isNotNull()).select(*dict.fromkeys([*spec.key, *spec.order_by]), value)
 
 
 def _demeaned(rows: DataFrame, spec: SeriesSpec, layout: Layout) -> DataFrame:
@@ -174,7 +173,7 @@ def kpss(df: DataFrame, spec: SeriesSpec, min_rows: int = MIN_TEST_ROWS, layout:
     key = [*spec.key]
     longest = rows.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
     first_lags = max(1, int(longest ** (2 / 9) + 1e-9))
-    found = autocovariances(rows.withColumn(spec.value, F.col("_y")), spec, first_lags, layout)
+    found = autocovariances(rows, spec.of("_y"), first_lags, layout)
 
     m = F.floor(F.pow(F.col("n").cast("double"), F.lit(2 / 9)) + 1e-9)
     early = F.filter(F.col("gamma"), lambda g, i: (i >= 1) & (i <= m))
@@ -191,7 +190,7 @@ def kpss(df: DataFrame, spec: SeriesSpec, min_rows: int = MIN_TEST_ROWS, layout:
         *key, "n", F.greatest(F.least(F.coalesce(auto, F.lit(0)), F.col("n") - 1), F.lit(0)).cast("int").alias("kpss_lag")
     )
     needed = lags.agg(F.max("kpss_lag")).first()[0] or 0
-    wide = autocovariances(rows.withColumn(spec.value, F.col("_y")), spec, max(needed, 1), layout).drop("n", "mean")
+    wide = autocovariances(rows, spec.of("_y"), max(needed, 1), layout).drop("n", "mean")
 
     partial = _partial_sum_squares(rows, spec, layout)
     joined = lags.join(wide, key).join(partial, key)
@@ -364,8 +363,7 @@ def adf(
     rule = F.ceil(12 * F.pow(n / 100, F.lit(0.25)))
     depth = F.greatest(F.least(F.lit(max_lag) if max_lag is not None else rule, F.floor(n / 2) - 2), F.lit(0))
     deepest = max_lag if max_lag is not None else math.ceil(12 * (max(longest, 1) / 100) ** 0.25)
-    named = rows.withColumnRenamed("_y", spec.value)
-    grams = lagged_gram(named, spec, depth, max(deepest, 1), 1, True, layout)
+    grams = lagged_gram(rows, spec.of("_y"), depth, max(deepest, 1), 1, True, layout)
     heads = (
         positions(rows, layout, "_at")
         .filter(F.col("_at") <= deepest)

@@ -84,9 +84,9 @@ def order_search(
     layout = layout or plan_layout(rows, spec)
     depth = _long_order(max_p, max_q) + max_q
     key = [*spec.key]
-    grams = lagged_gram(
-        rows.withColumnRenamed("_y", spec.value), spec, F.lit(depth), depth, d, False, layout
-    ).filter(F.col("used") >= 2 * (depth + 2))
+    grams = lagged_gram(rows, spec.of("_y"), F.lit(depth), depth, d, False, layout).filter(
+        F.col("used") >= 2 * (depth + 2)
+    )
     kinds = [("p", T.IntegerType()), ("d", T.IntegerType()), ("q", T.IntegerType()), ("aic", T.DoubleType()),
              ("sigma2", T.DoubleType()), ("const", T.DoubleType()), ("phi", _DOUBLES), ("theta", _DOUBLES),
              ("long_ar", _DOUBLES)]
