@@ -22,7 +22,7 @@ from tallytide.operators.layout import (
     positions,
     tag_chunks,
 )
-from tallytide.scale import dimension_join
+from tallytide.scale import dimension_join, reliable_checkpoint
 from tallytide.series import SeriesSpec
 
 MIN_TEST_ROWS = 20
@@ -52,7 +52,8 @@ def _demeaned(rows: DataFrame, spec: SeriesSpec, layout: Layout) -> DataFrame:
         means = rows.groupBy(*spec.key).agg(F.count("_y").alias("_n"), F.avg("_y").alias("_mean"))
         rows = dimension_join(rows, means, spec.key, "inner", spread_by=spec.order_by)
     else:
-        whole = Window.partitionBy(*spec.key)
+        # in the order of the later windows, so that the rows are sorted once
+        whole = layout.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         rows = rows.withColumns({"_n": F.count("_y").over(whole), "_mean": F.avg("_y").over(whole)})
     return rows.withColumn("_d", F.col("_y") - F.col("_mean"))
 
@@ -66,25 +67,34 @@ def _sum_arrays(df: DataFrame, key: list[str], column: str) -> DataFrame:
 
 
 def autocovariances(
-    df: DataFrame, spec: SeriesSpec, max_lag: int, layout: Layout | None = None
+    df: DataFrame, spec: SeriesSpec, max_lag: int, layout: Layout | None = None, partial_sums: bool = False
 ) -> DataFrame:
-    """(key, n, mean, gamma): biased autocovariances for lags 0..max_lag of the known values."""
+    """(key, n, mean, gamma): biased autocovariances for lags 0..max_lag of the known values.
+
+    ``partial_sums`` adds ``squares``, the sum of the squared running sums of deviations.
+    """
     rows = _known(df, spec)
     layout = layout or plan_layout(rows, spec)
     centred = _demeaned(rows, spec, layout)
     key = [*spec.key]
+    if partial_sums and (layout.split or max_lag > _EXPRESSION_LAGS):
+        found = autocovariances(rows, spec.of("_y"), max_lag, layout)
+        return found.join(_partial_sum_squares(rows, spec, layout), key)
     if max_lag <= _EXPRESSION_LAGS:
         names = [f"_l{k}" for k in range(1, max_lag + 1)]
 
         def add(frame: DataFrame, part: list[str], order: list[str]) -> DataFrame:
             along = Window.partitionBy(*part).orderBy(*order)
-            return frame.withColumns({f"_l{k}": F.lag("_d", k).over(along) for k in range(1, max_lag + 1)})
+            lags = {f"_l{k}": F.lag("_d", k).over(along) for k in range(1, max_lag + 1)}
+            upto = along.rowsBetween(Window.unboundedPreceding, 0)
+            return frame.withColumns({**lags, **({"_s": F.sum("_d").over(upto)} if partial_sums else {})})
 
         lagged = look_back(centred, layout, max(max_lag, 1), add)
         n = F.first("_n")
         products = [F.sum(F.col("_d") * F.col("_d"))] + [F.sum(F.col("_d") * F.col(c)) for c in names]
         gamma = F.array(*[F.coalesce(p, F.lit(0.0)) / n for p in products])
-        return lagged.groupBy(*key).agg(n.alias("n"), F.first("_mean").alias("mean"), gamma.alias("gamma"))
+        extra = [F.sum(F.col("_s") * F.col("_s")).alias("squares")] if partial_sums else []
+        return lagged.groupBy(*key).agg(n.alias("n"), F.first("_mean").alias("mean"), gamma.alias("gamma"), *extra)
 
     schema = T.StructType(
         [centred.schema[c] for c in key]
@@ -172,8 +182,9 @@ def kpss(df: DataFrame, spec: SeriesSpec, min_rows: int = MIN_TEST_ROWS, layout:
     layout = layout or plan_layout(rows, spec)
     key = [*spec.key]
     longest = rows.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
-    first_lags = max(1, int(longest ** (2 / 9) + 1e-9))
-    found = autocovariances(rows, spec.of("_y"), first_lags, layout)
+    # enough lags for the rule itself and for the lag it usually picks
+    first_lags = max(1, int(longest ** (2 / 9) + 1e-9), min(_EXPRESSION_LAGS, int(1.5 * longest ** (1 / 3))))
+    found = reliable_checkpoint(autocovariances(rows, spec.of("_y"), first_lags, layout, True))
 
     m = F.floor(F.pow(F.col("n").cast("double"), F.lit(2 / 9)) + 1e-9)
     early = F.filter(F.col("gamma"), lambda g, i: (i >= 1) & (i <= m))
@@ -190,14 +201,12 @@ def kpss(df: DataFrame, spec: SeriesSpec, min_rows: int = MIN_TEST_ROWS, layout:
         *key, "n", F.greatest(F.least(F.coalesce(auto, F.lit(0)), F.col("n") - 1), F.lit(0)).cast("int").alias("kpss_lag")
     )
     needed = lags.agg(F.max("kpss_lag")).first()[0] or 0
-    wide = autocovariances(rows, spec.of("_y"), max(needed, 1), layout).drop("n", "mean")
-
-    partial = _partial_sum_squares(rows, spec, layout)
-    joined = lags.join(wide, key).join(partial, key)
+    wide = found if needed <= first_lags else autocovariances(rows, spec.of("_y"), needed, layout)
+    joined = lags.join(wide.select(*key, "gamma"), key).join(found.select(*key, "squares"), key)
     bartlett = F.transform("gamma", lambda g, i: F.when(
         (i >= 1) & (i <= F.col("kpss_lag")), g * (1 - i / (F.col("kpss_lag") + 1))).otherwise(F.lit(0.0)))
     long_run = F.get("gamma", 0) + 2 * F.aggregate(bartlett, F.lit(0.0), lambda a, t: a + t)
-    stat = F.col("_squares") / (F.pow(F.col("n").cast("double"), F.lit(2)) * F.when(long_run > 0, long_run))
+    stat = F.col("squares") / (F.pow(F.col("n").cast("double"), F.lit(2)) * F.when(long_run > 0, long_run))
     return joined.select(*key, "n", stat.alias("kpss_stat"), "kpss_lag").withColumn(
         "kpss_p", kpss_p_value(F.col("kpss_stat"))
     )
@@ -214,11 +223,11 @@ def _partial_sum_squares(rows: DataFrame, spec: SeriesSpec, layout: Layout) -> D
         F.sum(F.col("_s") * F.col("_s")).alias("_s2"),
     )
     if not layout.split:
-        return per_chunk.select(*spec.key, F.col("_s2").alias("_squares"))
+        return per_chunk.select(*spec.key, F.col("_s2").alias("squares"))
     before = Window.partitionBy(*spec.key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_total").over(before), F.lit(0.0))
     squares = F.col("_c") * F.col("_p") * F.col("_p") + 2 * F.col("_p") * F.col("_s1") + F.col("_s2")
-    return per_chunk.withColumn("_p", start).groupBy(*spec.key).agg(F.sum(squares).alias("_squares"))
+    return per_chunk.withColumn("_p", start).groupBy(*spec.key).agg(F.sum(squares).alias("squares"))
 
 
 def kpss_p_value(stat: Column) -> Column:

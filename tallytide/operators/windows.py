@@ -31,14 +31,14 @@ _STEP, _SEG = "_step", "_seg"
 _SUMS = ("n", "s", "q", "c", "tn", "ts", "tq")
 
 
-def _moments(n: Column, s: Column, q: Column, centre: Column) -> Column:
-    """(count, mean, squared deviations) from running sums around ``centre``."""
+def _moments(n: Column, s: Column, q: Column, centre: Column, name: str) -> dict[str, Column]:
+    """Count, mean and squared deviations from running sums around ``centre``."""
     known = F.when(n > 0, n)
-    return F.struct(
-        n.alias("n"),
-        F.coalesce(centre + s / known, F.lit(0.0)).alias("m"),
-        F.coalesce(q - s * s / known, F.lit(0.0)).alias("q"),
-    )
+    return {
+        name % "n": n,
+        name % "m": F.coalesce(centre + s / known, F.lit(0.0)),
+        name % "q": F.coalesce(q - s * s / known, F.lit(0.0)),
+    }
 
 
 def rolling_stats(
@@ -84,31 +84,29 @@ def rolling_stats(
         # Each stage is its own projection: nested in one expression, the shared
         # terms would be repeated and the plan would grow without need.
         pairs = [(p, w) for p in columns.values() for w in windows]
-        here = {
-            p: F.struct(F.col(_SEG).alias("g"), *[F.col(f"_{t}_{p}").alias(t) for t in _SUMS])
-            for p in columns.values()
-        }
-        frame = frame.withColumns({f"_then_{p}_{w}": F.lag(here[p], w).over(along) for p, w in pairs})
+        ordered = Window.partitionBy(*key).orderBy(_SEG, _STEP)  # the order the segments left the rows in
+        then = {f"_g_{w}": F.lag(_SEG, w).over(ordered) for w in windows}
+        then |= {f"_{t}_{p}_{w}": F.lag(f"_{t}_{p}", w).over(ordered) for p, w in pairs for t in _SUMS}
+        frame = frame.withColumns(then)
         parts = {}
         for p, w in pairs:
-            then = F.col(f"_then_{p}_{w}")
-            same = then["g"] == F.col(_SEG)
-            head = [F.col(f"_{t}_{p}") - F.when(same, then[t]).otherwise(F.lit(0.0)) for t in ("n", "s", "q")]
-            rest = [F.when(~same, then[f"t{t}"] - then[t]).otherwise(F.lit(0.0)) for t in ("n", "s", "q")]
-            parts[f"_a_{p}_{w}"] = _moments(*head, F.col(f"_c_{p}"))
-            parts[f"_b_{p}_{w}"] = _moments(*rest, then["c"])
+            was = {t: F.col(f"_{t}_{p}_{w}") for t in _SUMS}
+            same = F.col(f"_g_{w}") == F.col(_SEG)
+            head = [F.col(f"_{t}_{p}") - F.when(same, was[t]).otherwise(F.lit(0.0)) for t in ("n", "s", "q")]
+            rest = [F.when(~same, was[f"t{t}"] - was[t]).otherwise(F.lit(0.0)) for t in ("n", "s", "q")]
+            parts |= _moments(*head, F.col(f"_c_{p}"), f"_a%s_{p}_{w}")
+            parts |= _moments(*rest, was["c"], f"_b%s_{p}_{w}")
         frame = frame.withColumns(parts)
         results = {}
         for p, w in pairs:
-            a, b = F.col(f"_a_{p}_{w}"), F.col(f"_b_{p}_{w}")
-            full = a["n"] + b["n"] == w
-            gap = b["m"] - a["m"]
-            results[f"{p}_roll_mean_{w}"] = F.when(full, a["m"] + gap * b["n"] / w)
-            squares = F.when(full, a["q"] + b["q"] + gap * gap * a["n"] * b["n"] / w)
+            an, am, aq = (F.col(f"_a{t}_{p}_{w}") for t in ("n", "m", "q"))
+            bn, bm, bq = (F.col(f"_b{t}_{p}_{w}") for t in ("n", "m", "q"))
+            full, gap = an + bn == w, bm - am
+            results[f"{p}_roll_mean_{w}"] = F.when(full, am + gap * bn / w)
+            squares = aq + bq + gap * gap * an * bn / w
             spread = F.sqrt(F.greatest(squares, F.lit(0.0)) / max(w - 1, 1))
             results[f"{p}_roll_std_{w}"] = F.when(full & F.lit(w > 1), spread)
-        scratch = [f"_{t}_{p}" for p in columns.values() for t in _SUMS]
-        scratch += [f"_{t}_{p}_{w}" for p, w in pairs for t in ("then", "a", "b")]
+        scratch = [f"_{t}_{p}" for p in columns.values() for t in _SUMS] + [*then, *parts]
         return frame.withColumns(results).drop(_STEP, _SEG, *scratch)
 
     return look_back(df, layout, segment, add)

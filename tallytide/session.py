@@ -13,8 +13,13 @@ _SHIPPED = "spark.tallytide.shipped"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set the time zone to UTC and send the package to the Python workers, once per application."""
+    """Set the time zone to UTC and send the package to the Python workers, once per application.
+
+    The call-site lookup behind error messages is switched off: plans with many
+    columns spend more time on it than on planning.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.dataFrameQueryContext.enabled", "false")
     app = spark.sparkContext.applicationId
     if spark.conf.get(_SHIPPED, "") != app:
         spark.sparkContext.addPyFile(_package_zip())
