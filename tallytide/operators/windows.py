@@ -31,12 +31,12 @@ _STEP, _SEG = "_step", "_seg"
 _SUMS = ("n", "s", "q", "c", "tn", "ts", "tq")
 
 
-def _moments(n: Column, s: Column, q: Column, centre: Column, name: str) -> dict[str, Column]:
-    """Count, mean and squared deviations from running sums around ``centre``."""
+def _moments(n: Column, s: Column, q: Column, shift: Column, name: str) -> dict[str, Column]:
+    """Count, mean (moved by ``shift``) and squared deviations from centred sums."""
     known = F.when(n > 0, n)
     return {
         name % "n": n,
-        name % "m": F.coalesce(centre + s / known, F.lit(0.0)),
+        name % "m": F.coalesce(shift + s / known, F.lit(0.0)),
         name % "q": F.coalesce(q - s * s / known, F.lit(0.0)),
     }
 
@@ -94,15 +94,15 @@ def rolling_stats(
             same = F.col(f"_g_{w}") == F.col(_SEG)
             head = [F.col(f"_{t}_{p}") - F.when(same, was[t]).otherwise(F.lit(0.0)) for t in ("n", "s", "q")]
             rest = [F.when(~same, was[f"t{t}"] - was[t]).otherwise(F.lit(0.0)) for t in ("n", "s", "q")]
-            parts |= _moments(*head, F.col(f"_c_{p}"), f"_a%s_{p}_{w}")
-            parts |= _moments(*rest, was["c"], f"_b%s_{p}_{w}")
+            parts |= _moments(*head, F.lit(0.0), f"_a%s_{p}_{w}")
+            parts |= _moments(*rest, was["c"] - F.col(f"_c_{p}"), f"_b%s_{p}_{w}")
         frame = frame.withColumns(parts)
         results = {}
         for p, w in pairs:
             an, am, aq = (F.col(f"_a{t}_{p}_{w}") for t in ("n", "m", "q"))
             bn, bm, bq = (F.col(f"_b{t}_{p}_{w}") for t in ("n", "m", "q"))
             full, gap = an + bn == w, bm - am
-            results[f"{p}_roll_mean_{w}"] = F.when(full, am + gap * bn / w)
+            results[f"{p}_roll_mean_{w}"] = F.when(full, F.col(f"_c_{p}") + (am + gap * bn / w))
             squares = aq + bq + gap * gap * an * bn / w
             spread = F.sqrt(F.greatest(squares, F.lit(0.0)) / max(w - 1, 1))
             results[f"{p}_roll_std_{w}"] = F.when(full & F.lit(w > 1), spread)
