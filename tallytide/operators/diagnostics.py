@@ -50,7 +50,7 @@ def _demeaned(rows: DataFrame, spec: SeriesSpec, layout: Layout) -> DataFrame:
     """Add ``_n``, ``_mean`` and ``_d``, the deviation from the series mean."""
     if layout.split:
         means = rows.groupBy(*spec.key).agg(F.count("_y").alias("_n"), F.avg("_y").alias("_mean"))
-        rows = dimension_join(rows, means, spec.key, "inner", spread_by=spec.order_by)
+        rows = dimension_join(rows, reliable_checkpoint(means), spec.key, "inner", spread_by=spec.order_by)
     else:
         # in the order of the later windows, so that the rows are sorted once
         whole = layout.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

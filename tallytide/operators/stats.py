@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallytide.operators.quantiles import exact_quantiles, quantile_values
-from tallytide.scale import dimension_join
+from tallytide.scale import dimension_join, reliable_checkpoint
 from tallytide.schema import LABELS, PLACEHOLDER
 
 BINS = 50
@@ -171,7 +171,7 @@ def density_histogram(df: DataFrame, value: str, group: str, bins: int = BINS) -
     ranges = known.groupBy(group).agg(
         F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count(F.lit(1)).alias("_n")
     )
-    placed = dimension_join(known, ranges, [group], "inner", spread_by=["_v"])
+    placed = dimension_join(known, reliable_checkpoint(ranges), [group], "inner", spread_by=["_v"])
     bin_ = _bin(F.col("_v"), F.col("_low"), F.col("_high"), bins).alias("bin")
     counts = placed.groupBy(group, bin_, "_low", "_high", "_n").agg(F.count(F.lit(1)).alias("rows"))
     width = (F.col("_high") - F.col("_low")) / bins
