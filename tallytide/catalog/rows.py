@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import datetime, timezone
 
@@ -10,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallytide.catalog.base import EVENTS, EVENTS_SQL, FILLED_SQL, LAGGED_SQL, events, orders, query, r, table
+from tallytide.catalog.base import EVENTS, EVENTS_SQL, LAGGED_SQL, events, orders, query, r, table
 from tallytide.functions import scalars as S
 from tallytide.operators import encode, joins, sampling, stats
 from tallytide.operators.fill import fill_sparse_columns, observations
 from tallytide.operators.models import complete_rows
 from tallytide.operators.windows import event_lag
+from tallytide.scale import shared_folder
 from tallytide.sources.daily_index import densify
 from tallytide.sources.telemetry import read_metadata, read_mission, read_missions
 
@@ -281,8 +281,7 @@ _SERIES = T.StructType(
 
 
 def _write_series(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
-    base = f"{shared.rstrip('/')}/series-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/series-{uuid.uuid4().hex}"
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     rows = orders(spark, sf_dir).join(customers, "o_custkey").select(
         F.unix_timestamp("o_orderdate").alias("time_unix"),

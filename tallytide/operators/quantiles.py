@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallytide.scale import TASK_ROWS, bound, dimension_join, reliable_checkpoint
 
 _MIN_ACCURACY = 10_000
+_DIGITS = 4  # 65,536 ranges at a time
 
 
 def exact_quantiles(
@@ -100,24 +101,26 @@ def quantile_values(df: DataFrame, value: str, probs: Sequence[float]) -> list[f
     return list(row[0]) if row and row[0] else []
 
 
-def smallest_hash(keys: DataFrame, digest: str, k: int) -> str | None:
-    """The k-th smallest hexadecimal digest among distinct keys.
+def smallest_hash(rows: DataFrame, digest: str, k: int, small: int = 50_000) -> str | None:
+    """The k-th smallest hexadecimal digest.
 
-    Digests are uniform, so counting them by their first digits finds the small
-    range that holds rank k, and only that range is ordered.
+    Counts by the first digits find the range that holds rank k. The search goes
+    on inside that range with more digits until it is small enough to order.
     """
     if k <= 0:
         return None
-    by_prefix = keys.groupBy(F.substring(digest, 1, 4).alias("p")).count()  # at most 65,536 groups
-    upto = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
-    hit = (
-        by_prefix.withColumn("upto", F.sum("count").over(upto))
-        .filter(F.col("upto") >= k)
-        .orderBy("p")
-        .first()
-    )
-    if hit is None:
-        return keys.agg(F.max(digest)).first()[0]
-    inside = k - (hit["upto"] - hit["count"])
-    head = keys.filter(F.substring(digest, 1, 4) == hit["p"]).orderBy(digest).limit(inside)
-    return head.agg(F.max(digest)).first()[0]
+    prefix, scope = "", rows.select(digest)
+    while True:
+        digits = len(prefix) + _DIGITS
+        counts = scope.groupBy(F.substring(digest, 1, digits).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, 0))
+        hit = counts.withColumn("upto", upto).filter(F.col("upto") >= k).orderBy("p").first()
+        if hit is None:
+            return scope.agg(F.max(digest)).first()[0]
+        k -= hit["upto"] - hit["n"]
+        prefix = hit["p"]
+        scope = scope.filter(F.substring(digest, 1, digits) == prefix)
+        if hit["n"] <= small:
+            return scope.orderBy(digest).limit(k).agg(F.max(digest)).first()[0]
+        if len(prefix) < digits:  # one digest repeated
+            return prefix

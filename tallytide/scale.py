@@ -29,12 +29,17 @@ def bound(spark: SparkSession, name: str) -> int:
     return int(spark.conf.get(name, str(_DEFAULTS[name])))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors see; a local one only where the session names none, as in tests."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or tempfile.gettempdir()).rstrip("/")
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared checkpoint folder, which outlives executors."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tallytide-"))
+        context.setCheckpointDir(f"{shared_folder(df.sparkSession)}/tallytide-checkpoints")
     return df.checkpoint(eager=True)
 
 

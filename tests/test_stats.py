@@ -48,6 +48,9 @@ def test_smallest_hash(spark):
     ordered = sorted(r[0] for r in keys.collect())
     for k in (1, 17, 499, 500):
         assert quantiles.smallest_hash(keys, "d", k) == ordered[k - 1]
+        assert quantiles.smallest_hash(keys, "d", k, small=0) == ordered[k - 1]
+    repeated = keys.union(keys.limit(1)).union(keys.limit(1))
+    assert quantiles.smallest_hash(repeated, "d", 502, small=1) == ordered[-1]
 
 
 @pytest.mark.parametrize("split", [False, True])
@@ -148,11 +151,22 @@ def test_stratified_sample(spark):
     assert once == again
 
 
-def test_top_per_group_matches_a_plain_rank(spark):
-    df = spark.range(2000).select("id", (F.col("id") % 3).alias("g"), F.md5(F.col("id").cast("string")).alias("h"))
-    got = sampling.top_per_group(df, ["g"], [F.col("h")], 10)
-    want = df.toPandas().sort_values("h").groupby("g").head(10)
-    assert {r["id"] for r in got.collect()} == set(want["id"])
+def test_first_per_group_matches_a_plain_rank(spark):
+    df = spark.range(2000).select("id", F.when(F.col("id") % 10 < 7, 1).otherwise(F.col("id") % 10).alias("g"))
+    hashed = df.withColumn("_hash", sampling.seeded_hash("id"))
+    quotas = spark.createDataFrame([(1, 10), (7, 200), (8, 300), (9, 1)], "g long, _quota int")
+    got = sampling.first_per_group(hashed, "g", quotas, "id")
+    ranked = hashed.toPandas().sort_values("_hash")
+    want = {i for g, q in ((1, 10), (7, 200), (8, 300), (9, 1)) for i in ranked[ranked["g"] == g].head(q)["id"]}
+    assert {r["id"] for r in got.collect()} == want
+
+
+def test_uniform_sample_on_a_large_table(spark, small_tasks):
+    df = spark.range(1000)
+    whole = sorted(r[0] for r in sampling.uniform_sample(df, ["id"], 100).collect())
+    small_tasks(50)
+    assert sorted(r[0] for r in sampling.uniform_sample(df, ["id"], 100).collect()) == whole
+    assert sampling.uniform_sample(df, ["id"], 5000).count() == 1000
 
 
 def test_group_split(spark):
