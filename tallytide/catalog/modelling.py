@@ -13,7 +13,7 @@ from tallytide.operators.evaluate import evaluate
 from tallytide.operators.fill import drop_unobserved, fill_sparse_columns
 from tallytide.operators.layout import plan_layout
 from tallytide.operators.windows import context_windows, event_lag
-from tallytide.plans.features import FeatureColumns, fit_features, numeric_features, prepare_rows
+from tallytide.plans.features import FeatureColumns, feature_names, fit_features, numeric_features, prepare_rows
 from tallytide.scale import dimension_join
 from tallytide.sources.daily_index import densify
 
@@ -153,13 +153,16 @@ def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduced.select("vec_id", *[r(F.get("embedding", i), 5).alias(f"c{i}") for i in range(8)])
 
 
-def _fit_and_score(spark: SparkSession, sf_dir: str, name: str, **sizes: int) -> DataFrame:
-    rows = _prepared(spark, sf_dir)
-    train, test = sampling.group_split(rows, "user_id")
+def _matrices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Train and test rows with the names of their features."""
+    train, test = sampling.group_split(_prepared(spark, sf_dir), "user_id")
     fitted = fit_features(train, "obs", COLUMNS)
     train, test = fitted.apply(train, "obs"), fitted.apply(test, "obs")
-    left_out = {"user_id", "event_id", "obs", models.TARGET}
-    features = sorted((set(train.columns) & set(test.columns)) - left_out)
+    return train, test, feature_names(train, test, EVENTS)
+
+
+def _fit_and_score(spark: SparkSession, sf_dir: str, name: str, **sizes: int) -> DataFrame:
+    train, test, features = _matrices(spark, sf_dir)
     config = models.model_configs(**sizes)[name]
     model = models.fit_model(train, features, config)
     return _per_class(evaluate(models.predict(model, test, features), models.TARGET, models.PREDICTED))
@@ -178,3 +181,11 @@ def fit_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("fit_boosted")
 def fit_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit_and_score(spark, sf_dir, "boosted_trees", rounds=10, boosted_depth=4)
+
+
+@query("feature_importance")
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _, features = _matrices(spark, sf_dir)
+    model = models.fit_model(train, features, models.model_configs(max_depth=10)["decision_tree"])
+    ranked = encode.feature_groups(models.importances(model, features))
+    return ranked.withColumn("importance", r("importance")).orderBy(F.desc("importance"), "feature").limit(20)

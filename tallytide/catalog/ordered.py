@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from tallytide.catalog.base import (
 from tallytide.operators import diagnostics, forecast
 from tallytide.operators.fill import drop_unobserved, fill_sparse_columns, forward_fill, interpolate
 from tallytide.operators.layout import plan_layout
+from tallytide.plans.hourly import forecast_hours, hourly_series
 from tallytide.operators.windows import (
     context_windows,
     event_lag,
@@ -228,10 +231,29 @@ def acf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("pacf")
+@query("pacf", "WITH RECURSIVE " + _DEVIATIONS_SQL + f""",
+g0 AS (SELECT l_suppkey, any_value(n) AS n, sum(d * d) AS g FROM d GROUP BY 1),
+lags AS (SELECT l_suppkey, unnest(range(1, least({_ACF_LAGS}, n // 2 - 1) + 1)) AS lag FROM g0),
+gk AS (
+  SELECT l_suppkey, lag, sum(a.d * b.d) AS g
+  FROM d a JOIN lags USING (l_suppkey) JOIN d b USING (l_suppkey) WHERE b.pos = a.pos - lag GROUP BY 1, 2),
+r AS (SELECT l_suppkey, any_value(g0.n) AS n, list(gk.g / g0.g ORDER BY lag) AS r FROM gk JOIN g0 USING (l_suppkey) GROUP BY 1),
+step AS (
+  SELECT l_suppkey, n, r, 1 AS lag, [r[1]] AS phi, 1 - r[1] * r[1] AS v, r[1] AS k FROM r
+  UNION ALL
+  SELECT l_suppkey, n, r, lag + 1,
+         list_append(list_transform(range(1, lag + 1), lambda i: phi[i] - kk * phi[lag + 1 - i]), kk), v * (1 - kk * kk), kk
+  FROM (SELECT *, (r[lag + 1] - list_sum(list_transform(range(1, lag + 1), lambda i: phi[i] * r[lag + 1 - i]))) / v AS kk
+        FROM step WHERE lag < len(r)))
+SELECT l_suppkey, n, CAST(lag AS BIGINT) AS lag, round(k, 6) AS pacf, round(1.96 / sqrt(n), 6) AS bound,
+       CAST(abs(k) > 1.96 / sqrt(n) AS INTEGER) AS significant
+FROM step""")
 def pacf(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = diagnostics.pacf(lines(spark, sf_dir), LINES, _ACF_LAGS)
-    return out.withColumns({"pacf": r("pacf"), "bound": r("bound")})
+    return out.select(
+        "l_suppkey", "n", F.col("lag").cast("long").alias("lag"), r("pacf").alias("pacf"), r("bound").alias("bound"),
+        F.col("significant").cast("int").alias("significant"),
+    )
 
 
 @query("kpss", "WITH " + _DEVIATIONS_SQL + """,
@@ -286,7 +308,15 @@ def ar_order_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ar_forecast")
 def ar_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lines(spark, sf_dir)
-    layout = plan_layout(rows, LINES)
-    models = forecast.order_search(rows, LINES, d=1, max_p=5, max_q=2, layout=layout)
-    return forecast.forecast(rows, LINES, models, 10, layout).withColumn("forecast", r("forecast", 4))
+    models = forecast.order_search(lines(spark, sf_dir), LINES, d=1, max_p=5, max_q=2)
+    return forecast.forecast(models, LINES.key, 10).withColumn("forecast", r("forecast", 4))
+
+
+@query("hourly_forecast")
+def hourly_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = hourly_series(events(spark, sf_dir), EVENTS, "ts")
+    compared = forecast_hours(hours, datetime(2024, 1, 22, tzinfo=timezone.utc), max_p=5, max_q=2)
+    return compared.select(
+        F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), r("mean_pax").alias("mean_pax"),
+        r("forecast", 4).alias("forecast"), "truth", "predicted",
+    )

@@ -250,12 +250,13 @@ def lagged_gram(
     level: bool,
     layout: Layout,
 ) -> DataFrame:
-    """(key, n, depth, used, gram): cross products of lagged values, summed over each series.
+    """(key, n, depth, used, gram, head, tail): cross products of lagged values, summed over each series.
 
     With w the ``difference``-times differenced series, the row of time t is
     ``1, [y(t-1),] w(t), w(t-1), ..., w(t-depth)``, over all t that have it.
     Any least-squares fit on these columns follows from the matrix alone, so
-    the series is read once, in blocks, however many models are tried.
+    the series is read once, in blocks, however many models are tried. ``head``
+    and ``tail`` are the first and last ``max_depth + difference + 1`` values.
     """
     key = [*spec.key]
     reach = max_depth + difference
@@ -264,7 +265,8 @@ def lagged_gram(
     schema = T.StructType(
         [placed.schema[c] for c in key]
         + [T.StructField("n", T.LongType()), T.StructField("depth", T.IntegerType())]
-        + [T.StructField("used", T.LongType()), T.StructField("gram", T.ArrayType(T.DoubleType()))]
+        + [T.StructField("used", T.LongType()), placed.schema[BLOCK]]
+        + [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("gram", "head", "tail")]
     )
 
     def cross_products(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -285,16 +287,21 @@ def lagged_gram(
             z = np.hstack(columns)[own[at:stop]]
             total += z.T @ z
             used += len(z)
-        head = pdf.iloc[[0]]
-        return pd.DataFrame(
-            {**{c: head[c] for c in key}, "n": head["n"], "depth": [deep], "used": [used], "gram": [total.ravel()]}
-        )
+        out = pdf.iloc[[0]][[*key, "n"]].copy()
+        out["depth"], out["used"], out[BLOCK] = deep, used, pdf[BLOCK].iloc[0]
+        out["gram"] = [total.ravel()]
+        out["head"], out["tail"] = [y[: reach + 1]], [y[-(reach + 1) :]]
+        return out
 
     parts = placed.groupBy(*key, BLOCK).applyInPandas(cross_products, schema)
     if not layout.split:
-        return parts
+        return parts.drop(BLOCK)
     sizes = parts.groupBy(*key).agg(
-        F.first("n").alias("n"), F.first("depth").alias("depth"), F.sum("used").alias("used")
+        F.first("n").alias("n"),
+        F.first("depth").alias("depth"),
+        F.sum("used").alias("used"),
+        F.min_by("head", BLOCK).alias("head"),
+        F.max_by("tail", BLOCK).alias("tail"),
     )
     return sizes.join(_sum_arrays(parts, key, "gram"), key)
 
@@ -373,14 +380,7 @@ def adf(
     depth = F.greatest(F.least(F.lit(max_lag) if max_lag is not None else rule, F.floor(n / 2) - 2), F.lit(0))
     deepest = max_lag if max_lag is not None else math.ceil(12 * (max(longest, 1) / 100) ** 0.25)
     grams = lagged_gram(rows, spec.of("_y"), depth, max(deepest, 1), 1, True, layout)
-    heads = (
-        positions(rows, layout, "_at")
-        .filter(F.col("_at") <= deepest)
-        .groupBy(*key)
-        .agg(F.array_sort(F.collect_list(F.struct("_at", "_y"))).alias("_head"))
-        .select(*key, F.transform("_head", lambda s: s["_y"]).alias("head"))
-    )
-    ready = grams.filter(F.col("n") >= min_rows).join(heads, key)
+    ready = grams.filter(F.col("n") >= min_rows)
     schema = T.StructType(
         [ready.schema[c] for c in [*key, "n"]]
         + [T.StructField("adf_stat", T.DoubleType()), T.StructField("adf_p", T.DoubleType())]
@@ -393,7 +393,7 @@ def adf(
             for g, used, deep, head in zip(pdf["gram"], pdf["used"], pdf["depth"], pdf["head"]):
                 size = 3 + int(deep)
                 matrix = np.asarray(g, dtype=float).reshape(size, size)
-                fits.append(_fit_adf(matrix, int(used), int(deep), np.asarray(head, dtype=float)))
+                fits.append(_fit_adf(matrix, int(used), int(deep), np.asarray(head, dtype=float)[: int(deep) + 1]))
             out = pdf[[*key, "n"]].copy()
             for i, name in enumerate(("adf_stat", "adf_p", "adf_lag")):
                 out[name] = [f[i] for f in fits]

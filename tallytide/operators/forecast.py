@@ -9,7 +9,7 @@ linear in lagged values, so the cross products of lagged values contain every
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallytide.operators.diagnostics import _known, lagged_gram, least_squares
-from tallytide.operators.layout import Layout, plan_layout, positions
+from tallytide.operators.layout import Layout, plan_layout
 from tallytide.series import SeriesSpec
 
 MAX_P, MAX_Q = 20, 5
@@ -75,10 +75,11 @@ def order_search(
     max_q: int = MAX_Q,
     layout: Layout | None = None,
 ) -> DataFrame:
-    """(key, n, p, d, q, aic, sigma2, const, phi, theta, long_ar): the best model of each series.
+    """(key, n, p, d, q, aic, sigma2, const, phi, theta, long_ar, tail): the best model of each series.
 
     Series too short for the largest candidate (fewer than twice its regressors)
-    are left out. The AIC is that of the conditional regression.
+    are left out. The AIC is that of the conditional regression. ``tail`` holds
+    the last values, which is all a forecast needs.
     """
     rows = _known(df, spec)
     layout = layout or plan_layout(rows, spec)
@@ -90,7 +91,9 @@ def order_search(
     kinds = [("p", T.IntegerType()), ("d", T.IntegerType()), ("q", T.IntegerType()), ("aic", T.DoubleType()),
              ("sigma2", T.DoubleType()), ("const", T.DoubleType()), ("phi", _DOUBLES), ("theta", _DOUBLES),
              ("long_ar", _DOUBLES)]
-    schema = T.StructType([grams.schema[c] for c in [*key, "n"]] + [T.StructField(*k) for k in kinds])
+    schema = T.StructType(
+        [grams.schema[c] for c in [*key, "n"]] + [T.StructField(*k) for k in kinds] + [T.StructField("tail", _DOUBLES)]
+    )
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -103,6 +106,7 @@ def order_search(
             good = [f for f in fits if f is not None]
             for name, _ in kinds:
                 out[name] = [d if name == "d" else f[name] for f in good]
+            out["tail"] = pdf.loc[keep, "tail"]
             yield out
 
     return grams.mapInPandas(solve, schema)
@@ -129,35 +133,20 @@ def _forecast(tail: np.ndarray, d: int, const: float, phi, theta, long_ar, steps
     return out
 
 
-def forecast(
-    df: DataFrame, spec: SeriesSpec, models: DataFrame, steps: int, layout: Layout | None = None
-) -> DataFrame:
-    """(key, step, forecast) for the next ``steps`` values of each series with a model.
-
-    A forecast needs only the last few values of a series: the orders bound how many.
-    """
-    rows = _known(df, spec)
-    layout = layout or plan_layout(rows, spec)
-    key = [*spec.key]
-    needed = models.agg(F.max(F.size("long_ar") + F.size("theta") + F.col("d"))).first()[0] or 0
-    tails = (
-        positions(rows, layout, "_at", "_rows")
-        .filter(F.col("_rows") - F.col("_at") <= needed)
-        .groupBy(*key)
-        .agg(F.array_sort(F.collect_list(F.struct("_at", "_y"))).alias("_tail"))
-        .select(*key, F.transform("_tail", lambda s: s["_y"]).alias("tail"))
-    )
-    ready = tails.join(models.select(*key, "d", "const", "phi", "theta", "long_ar"), key)
-    schema = T.StructType([ready.schema[c] for c in key] + [T.StructField("path", _DOUBLES)])
+def forecast(models: DataFrame, key: Sequence[str], steps: int) -> DataFrame:
+    """(key, step, forecast) for the next ``steps`` values after each fitted series."""
+    key = list(key)
+    schema = T.StructType([models.schema[c] for c in key] + [T.StructField("path", _DOUBLES)])
+    parts = ["tail", "d", "const", "phi", "theta", "long_ar"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = pdf[key].copy()
             out["path"] = [
-                _forecast(np.asarray(r.tail_, dtype=float), int(r.d), r.const, r.phi, r.theta, r.long_ar, steps)
-                for r in pdf.rename(columns={"tail": "tail_"}).itertuples(index=False)
+                _forecast(np.asarray(tail, dtype=float), int(d), const, phi, theta, long_ar, steps)
+                for tail, d, const, phi, theta, long_ar in zip(*(pdf[c] for c in parts))
             ]
             yield out
 
-    paths = ready.mapInPandas(run, schema)
+    paths = models.select(*key, *parts).mapInPandas(run, schema)
     return paths.select(*key, F.posexplode("path").alias("step", "forecast")).withColumn("step", F.col("step") + 1)

@@ -12,6 +12,7 @@ from tallytide.operators.evaluate import evaluate
 from tallytide.operators.forecast import MAX_P, MAX_Q, forecast, order_search
 from tallytide.operators.layout import positions, plan_layout
 from tallytide.operators.stats import mean_of_means, tercile_boundaries
+from tallytide.scale import reliable_checkpoint
 from tallytide.series import SeriesSpec
 
 HOURLY = SeriesSpec("series", "hour", "mean_pax")
@@ -28,14 +29,14 @@ def forecast_hours(
     """(hour, mean_pax, forecast, truth, predicted) for the hours from the cutoff on.
 
     Order and boundaries come from the hours before it. The hourly series has
-    one row per calendar hour.
+    one row per calendar hour; it is written out, so that the data behind it is read once.
     """
-    keyed = hours.withColumn("series", F.lit("hourly"))
+    keyed = reliable_checkpoint(hours.withColumn("series", F.lit("hourly")))
     train, test = keyed.filter(F.col("hour") < F.lit(cutoff)), keyed.filter(F.col("hour") >= F.lit(cutoff))
     low, high = tercile_boundaries(train, "mean_pax")
     models = order_search(train, HOURLY, d, max_p, max_q)
     numbered = positions(test, plan_layout(test, HOURLY), "step").withColumn("step", (F.col("step") + 1).cast("int"))
-    path = forecast(train, HOURLY, models, test.count())
+    path = forecast(models, HOURLY.key, test.count())
     joined = numbered.join(path, ["series", "step"])
     return joined.select(
         "hour", "mean_pax", "forecast",

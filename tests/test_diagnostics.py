@@ -155,7 +155,7 @@ def test_order_search_and_forecast(data, mode):
     x = np.column_stack([np.ones(len(t)), *[y[t - i] for i in range(1, row["p"] + 1)]])
     beta, *_ = np.linalg.lstsq(x, y[t], rcond=None)
     assert row["phi"] == pytest.approx(beta[1:].tolist(), rel=1e-6)
-    path = [r["forecast"] for r in A.forecast(df, SPEC, models, 4).filter("k = 'ar'").orderBy("step").collect()]
+    path = [r["forecast"] for r in A.forecast(models, SPEC.key, 4).filter("k = 'ar'").orderBy("step").collect()]
     tail, want = list(y), []
     for _ in range(4):
         tail.append(beta[0] + sum(b * tail[-1 - i] for i, b in enumerate(beta[1:])))
@@ -170,7 +170,7 @@ def test_moving_average_is_found(spark):
     df = spark.createDataFrame(pd.DataFrame({"k": "ma", "t": range(2000), "y": np.cumsum(y)}))
     row = A.order_search(df, SPEC, d=1, max_p=2, max_q=2).first()
     assert row["q"] >= 1 and np.isfinite(row["aic"])
-    assert A.forecast(df, SPEC, A.order_search(df, SPEC), 5).count() == 5
+    assert A.forecast(A.order_search(df, SPEC), SPEC.key, 5).count() == 5
 
 
 def test_gaps(spark):
