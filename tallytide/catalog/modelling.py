@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallytide.catalog.base import EVENTS, LAGGED_SQL, LINES, LINE_ORDER_SQL, events, lines, query, r, table
+from tallytide.catalog.base import EVENTS, LAGGED_SQL, LINES, events, lines, query, r, table
 from tallytide.catalog.ordered import _CONTEXTS_SQL
 from tallytide.functions import scalars as S
 from tallytide.operators import encode, models, sampling, stats

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallytide.catalog.base import EVENTS, EVENTS_SQL, FILLED_SQL, LINES, events, lines, orders, query, r, table
+from tallytide.catalog.base import EVENTS, EVENTS_SQL, FILLED_SQL, events, lines, orders, query, r, table
 from tallytide.functions import scalars as S
 from tallytide.operators import diagnostics, stats
 from tallytide.operators.fill import forward_fill
 from tallytide.plans.hourly import hourly_series
-from tallytide.series import SeriesSpec
 
 _LINE_NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
