@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallytide.llm import decontaminate, mixing, neardup, pii, quality
+from tallytide.llm import (
+    decontaminate, fingerprint, licences, lines, mixing, neardup, pii, quality, secrets, urls,
+)
 from tallytide.llm.common import table
 from tallytide.llm.registry import QUERIES, SQL, query
 
@@ -75,6 +77,49 @@ FROM placed
 """
 
 
+def _canonical_sql(text: str) -> str:
+    out = _LOWER.format(f"coalesce({text}, '')")
+    for spelling, same in licences.SPELLINGS:
+        out = f"replace({out}, '{spelling}', '{same}')"
+    out = f"regexp_replace({out}, '{licences._COPYRIGHT}', '', 'g')"
+    out = f"regexp_replace({out}, '{licences._GAPS}', ' ', 'g')"
+    return f"list_filter(list_transform(string_split({out}, chr(10)), lambda x: trim(x)), lambda x: x <> '')"
+
+
+def _licence_sql() -> str:
+    rows = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in licences.KNOWN)
+    return f"""
+WITH given(licence, text) AS (VALUES {rows}),
+known AS (
+  SELECT array_to_string({_canonical_sql("text")}, ' ') AS body, min(licence) AS licence FROM given GROUP BY 1
+),
+texts AS (SELECT doc_id, {_canonical_sql("text")} AS ls FROM documents),
+line_hits AS (
+  SELECT doc_id, licence FROM (SELECT doc_id, unnest(ls) AS body FROM texts) JOIN known USING (body)
+),
+notices AS (
+  SELECT doc_id, count(*) AS n_notices, string_agg(DISTINCT licence, ',' ORDER BY licence) AS notices FROM line_hits GROUP BY doc_id
+)
+SELECT t.doc_id, k.licence, coalesce(n.notices, '') AS notices, coalesce(n.n_notices, 0) AS n_notices
+FROM texts t LEFT JOIN known k ON len(t.ls) > 0 AND array_to_string(t.ls, ' ') = k.body LEFT JOIN notices n USING (doc_id)
+"""
+
+
+@query("op1_document_fingerprints")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query("op2_license_scan", _licence_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"), licences.known_licences(spark))
+
+
+@query("op3_url_filter")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), keep=["page_id"])
+
+
 @query("op4_benchmark_decontamination", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.decontaminate(
@@ -106,6 +151,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query("op9_line_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.repeated_lines(table(spark, sf_dir, "documents"))
+
+
+@query("op10_secret_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
