@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 from tallytide.llm.common import ready
 
 _PIECE = re.compile(r".{24,256}?(?:(?<=[.,;:!?|dgnrst])\s|\Z)|.{1,256}", re.DOTALL)
+_FINE = re.compile(r".{6,32}?(?:\s|\Z)|.{1,32}", re.DOTALL)
+_FINE_TO = 192  # code points at the head of a text that are cut finely, so that short texts have several leaves
 _SECTION_EVERY = 8
 
 
@@ -43,7 +45,8 @@ class Tree:
         while start < len(text):
             end = text.find("\n", start) + 1 or len(text)
             leaves, whole = [], hashlib.blake2b(digest_size=12, person=b"paragraph")
-            for piece in _PIECE.findall(text[start:end]):
+            border = min(max(start, _FINE_TO), end)
+            for piece in [*_FINE.findall(text, start, border), *_PIECE.findall(text, border, end)]:
                 data = piece.encode("utf-8", "surrogatepass")
                 leaves.append((_digest(b"leaf", data, 4).hex(), len(piece)))
                 whole.update(len(data).to_bytes(4, "big") + data)

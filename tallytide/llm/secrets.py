@@ -4,7 +4,7 @@ Candidates are runs of key-like characters. The forest sees length, character tr
 dictionary coverage, the path of the text and the neighbouring words, and is trained on
 labelled findings. Where none are given, findings of issued formats, or set in quotes or an
 assignment to a name for secrets, count as true, and tokens that read like words, placeholders
-or counters count as false.
+or numbers count as false.
 """
 
 from __future__ import annotations
@@ -102,7 +102,7 @@ def presumed_label(token: str, x: list[float]) -> int:
         return 0
     if f["issued"] or (f["assigned"] and f["entropy"] >= 2.8 and f["digits"] > 0):
         return 1
-    if f["digits"] == 0 or f["words"] >= 0.6 or f["slashes"] > 0.12:
+    if f["digits"] in (0, 1) or f["words"] >= 0.6 or f["slashes"] > 0.12:
         return 0
     return -1
 

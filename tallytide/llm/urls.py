@@ -120,20 +120,25 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> UrlModel:
     """``labelled``: url, label (1 block, 0 allow). NULL labels are left out; without labels everything is allowed.
 
     Suffix statistics come from all labelled rows; the trees from about ``rows`` of them, chosen
-    by a hash of the address. A training row's own label is taken out of its suffix statistic.
+    by a hash of the address. For a training row the statistics come from the half of the rows
+    that it is not in, so that its own label has no part in them.
     """
     ready(labelled.sparkSession)
     known = labelled.select("url", F.col("label").cast("double").alias("label")).dropna(subset=["label"])
     known = known.withColumn("_suffix", suffix_of(host_of(F.col("url"))))
-    suffixes = saved(known.groupBy("_suffix").agg(F.sum("label").alias("_blocked"), F.count("*").cast("double").alias("_seen")))
+    known = known.withColumn("_half", F.pmod(F.xxhash64("url"), F.lit(2)))
+    halves = saved(known.groupBy("_suffix", "_half").agg(
+        F.sum("label").alias("_blocked"), F.count("*").cast("double").alias("_seen")))
+    suffixes = saved(halves.groupBy("_suffix").agg(F.sum("_blocked").alias("_blocked"), F.sum("_seen").alias("_seen")))
     total = suffixes.agg(F.sum("_seen").alias("n"), F.sum("_blocked").alias("b")).first()
     n, b = total["n"] or 0, total["b"] or 0
     if b in (0, n):
         return UrlModel(None, suffixes, float(n > 0 and b == n))
     share = int(min(1.0, rows / n) * (1 << 30))
     chosen = known.filter(F.pmod(F.xxhash64(F.lit(SEED), "url"), F.lit(1 << 30)) < share)
-    chosen = chosen.join(suffixes, "_suffix")
-    fit_on = _with_vector(chosen, lexical_features("url"), F.col("_blocked") - F.col("label"), F.col("_seen") - 1)
+    other = halves.withColumn("_half", 1 - F.col("_half"))
+    chosen = chosen.join(other, ["_suffix", "_half"], "left")
+    fit_on = _with_vector(chosen, lexical_features("url"), 2 * F.col("_blocked"), 2 * F.col("_seen"))
     fit_on = saved(fit_on.select("_features", "label"))
     if fit_on.select("label").distinct().count() < 2:
         return UrlModel(None, suffixes, float(b > n - b))
