@@ -71,13 +71,10 @@ def components(edges: DataFrame, a: Sequence[str], b: Sequence[str]) -> DataFram
         # hook: the old root learns of it too
         hooks = seen.filter("near < root").groupBy(F.col("root").alias("v")).agg(F.min("near").alias("hook"))
         linked = seen.join(hooks, "v", "left").select("v", "root", F.least("near", "hook").alias("next"))
-        linked = saved(linked)
         # jump: root of the root
         above = linked.select(F.col("v").alias("next"), F.col("next").alias("top"))
-        jumped = linked.join(above, "next", "left").select(
-            "v", F.col("root").alias("was"), F.least("next", "top").alias("root")
-        )
-        jumped = saved(jumped)
+        jumped = saved(linked.join(above, "next", "left").select(
+            "v", F.col("root").alias("was"), F.least("next", "top").alias("root")))
         if jumped.filter("root <> was").isEmpty():
             return jumped.select("v", "root")
         state = jumped.select("v", "root")

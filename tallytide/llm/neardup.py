@@ -107,7 +107,7 @@ def _branch(frame: DataFrame, percent: int, trees: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), k1.take(take), k2.take(take)],
                                                  names=["node", *_KEY])
 
-    return work.mapInArrow(run, "node long, k1 long, k2 long").distinct()
+    return work.mapInArrow(run, "node long, k1 long, k2 long")
 
 
 class _Forest:
@@ -160,25 +160,27 @@ def candidate_links(vertices: DataFrame, percent: int = PERCENT, trees: int = TR
 
     ``vertices``: k1, k2, n, sig. Returns a1, a2, b1, b2.
     """
-    rows, out = _branch(vertices, percent, trees), None
+    rows, small, stars = _branch(vertices, percent, trees), None, None
     for level in range(levels):
         sizes = rows.groupBy("node").count().filter("count > 1")
         rows = saved(rows.join(sizes, "node"))
-        small = rows.filter(F.col("count") <= SMALL_NODE).join(vertices, [*_KEY])
-        nodes = small.groupBy("node").agg(F.collect_list(F.struct(*_KEY, "n", "sig")).alias("members"))
-        alike = _alike(nodes.select("members"), percent)
-        out = alike if out is None else out.unionByName(alike)
+        done = rows.filter(F.col("count") <= SMALL_NODE).select("node", *_KEY)
+        small = done if small is None else small.unionByName(done)
         large = rows.filter(F.col("count") > SMALL_NODE).select("node", *_KEY)
         if large.isEmpty():
             break
-        if level + 1 == levels:
+        if level + 1 < levels:
+            rows = _branch(large.join(vertices, [*_KEY]), percent, trees)
+        else:
             first = large.groupBy("node").agg(F.min(F.struct(*_KEY)).alias("first"))
             stars = large.join(first, "node").select(
                 F.col("first.k1").alias("a1"), F.col("first.k2").alias("a2"),
                 F.col("k1").alias("b1"), F.col("k2").alias("b2"))
-            out = out.unionByName(stars)
-        else:
-            rows = _branch(large.join(vertices, [*_KEY]), percent, trees)
+    members = F.collect_list(F.struct(*_KEY, "n", "sig")).alias("members")
+    nodes = small.join(vertices, [*_KEY]).groupBy("node").agg(members)
+    out = _alike(nodes.select("members"), percent)
+    if stars is not None:
+        out = out.unionByName(stars)
     return out.filter("a1 <> b1 or a2 <> b2").distinct()
 
 
@@ -254,9 +256,11 @@ def _blocks(members: DataFrame) -> DataFrame:
     """(root, block, blocks, members): every cluster cut into blocks of bounded rows and shingles."""
     sizes = members.groupBy("root").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         members.join(sizes, "root")
         .withColumn("block", F.pmod(F.xxhash64(*_KEY), F.col("blocks")))
+        .repartition(parts, "root", "block")  # else a large cluster stays where the join put it
         .groupBy("root", "block")
         .agg(F.first("blocks").alias("blocks"), F.collect_list(F.struct(*_KEY, "values")).alias("members"))
     )
