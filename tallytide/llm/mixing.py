@@ -105,9 +105,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     alike = Window.partitionBy("_id", "_tie").orderBy("taken")
     chosen = plan.select(F.col(doc_id).alias("_id"), F.col("tie").alias("_tie"), "taken").withColumn(
         "_copy", F.row_number().over(alike))
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.xxhash64(F.col(text)).alias("_tie2"))
-    same_rows = Window.partitionBy(doc_id, "_tie2").orderBy(F.lit(0))
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    rows = docs.select(row.alias("_row"), F.col(doc_id).alias("_id2"), F.xxhash64(F.col(text)).alias("_tie2"))
+    same_rows = Window.partitionBy("_id2", "_tie2").orderBy(F.lit(0))
     rows = rows.withColumn("_copy2", F.row_number().over(same_rows))
-    met = rows.join(chosen, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_tie2") == F.col("_tie"))
+    met = rows.join(chosen, F.col("_id2").eqNullSafe(F.col("_id")) & (F.col("_tie2") == F.col("_tie"))
                     & (F.col("_copy2") == F.col("_copy")))
-    return met.filter("taken > 0").select(*[F.col(f"`{c}`") for c in columns], "taken")
+    return met.filter("taken > 0").select(*[F.col(f"_row.`{c}`").alias(c) for c in columns], "taken")
