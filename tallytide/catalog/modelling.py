@@ -149,8 +149,8 @@ def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", F.col("embedding").cast("array<double>").alias("embedding")
     )
     train, _ = sampling.group_split(vectors, "vec_id")
-    reduced = models.fit_reduction(train, 8).apply(vectors)
-    return reduced.select("vec_id", *[r(F.get("embedding", i), 5).alias(f"c{i}") for i in range(8)])
+    reduced = models.fit_reduction(train, 32).apply(vectors)
+    return reduced.select("vec_id", *[r(F.get("embedding", i), 5).alias(f"c{i}") for i in range(32)])
 
 
 def _matrices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -170,7 +170,7 @@ def _fit_and_score(spark: SparkSession, sf_dir: str, name: str, **sizes: int) ->
 
 @query("fit_tree")
 def fit_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fit_and_score(spark, sf_dir, "decision_tree", max_depth=10)
+    return _fit_and_score(spark, sf_dir, "decision_tree")
 
 
 @query("fit_forest")
@@ -186,6 +186,6 @@ def fit_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, features = _matrices(spark, sf_dir)
-    model = models.fit_model(train, features, models.model_configs(max_depth=10)["decision_tree"])
+    model = models.fit_model(train, features, models.model_configs()["decision_tree"])
     ranked = encode.feature_groups(models.importances(model, features))
     return ranked.withColumn("importance", r("importance")).orderBy(F.desc("importance"), "feature").limit(20)

@@ -22,7 +22,7 @@ from tallytide.catalog.base import (
 from tallytide.operators import diagnostics, forecast
 from tallytide.operators.fill import drop_unobserved, fill_sparse_columns, forward_fill, interpolate
 from tallytide.operators.layout import plan_layout
-from tallytide.plans.hourly import forecast_hours, hourly_series
+from tallytide.plans.hourly import evaluate_forecast, forecast_hours, hourly_series
 from tallytide.operators.windows import (
     context_windows,
     event_lag,
@@ -302,21 +302,36 @@ def stationarity_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ar_order_search")
 def ar_order_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = forecast.order_search(lines(spark, sf_dir), LINES, d=1, max_p=5, max_q=2)
+    found = forecast.order_search(lines(spark, sf_dir), LINES)
     return found.select("l_suppkey", "n", "p", "d", "q", r("aic", 3).alias("aic"), r("sigma2", 4).alias("sigma2"))
 
 
 @query("ar_forecast")
 def ar_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = forecast.order_search(lines(spark, sf_dir), LINES, d=1, max_p=5, max_q=2)
+    models = forecast.order_search(lines(spark, sf_dir), LINES)
     return forecast.forecast(models, LINES.key, 10).withColumn("forecast", r("forecast", 4))
 
 
 @query("hourly_forecast")
 def hourly_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = hourly_series(events(spark, sf_dir), EVENTS, "ts")
-    compared = forecast_hours(hours, datetime(2024, 1, 22, tzinfo=timezone.utc), max_p=5, max_q=2)
+    compared = forecast_hours(hours, datetime(2024, 1, 22, tzinfo=timezone.utc))
     return compared.select(
         F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), r("mean_pax").alias("mean_pax"),
         r("forecast", 4).alias("forecast"), "truth", "predicted",
     )
+
+
+@query("hourly_forecast_metrics")
+def hourly_forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = hourly_series(events(spark, sf_dir), EVENTS, "ts")
+    metrics = evaluate_forecast(hours, datetime(2024, 1, 22, tzinfo=timezone.utc))
+    return metrics.select(r("macro_f1").alias("macro_f1"), r("balanced_accuracy").alias("balanced_accuracy"))
+
+
+@query("ffill_nan", "WITH " + FILLED_SQL + """
+SELECT event_id, is_obs, round(x, 6) AS x FROM filled""")
+def ffill_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    missing_as_nan = events(spark, sf_dir).withColumn("obs", F.coalesce("obs", F.lit(float("nan"))))
+    filled = fill_sparse_columns(missing_as_nan, EVENTS, ["stop_name"], "is_obs")
+    return filled.select("event_id", "is_obs", r("obs").alias("x"))

@@ -134,18 +134,20 @@ def external_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o_orderkey, round(coalesce(stringency, 0.0), 3) AS stringency
 FROM orders o ASOF LEFT JOIN weekly w ON CAST(o.o_orderdate AS DATE) >= w.date""")
 def asof_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = joins.index_as_of(orders(spark, sf_dir), weekly(spark, sf_dir), "o_orderdate")
+    points = weekly(spark, sf_dir)
+    points = points.unionByName(points.withColumn("stringency", F.col("stringency") - 1))  # repeated dates
+    found = joins.index_as_of(orders(spark, sf_dir), points, "o_orderdate")
     return found.select("o_orderkey", r("stringency", 3).alias("stringency"))
 
 
 @query("attach_vectors", """
-SELECT c_custkey, """ + ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE), 6) AS tfm_emb_{i}" for i in range(32)) + """
+SELECT c_custkey, """ + ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE), 6) AS tfm_emb_{i}" for i in range(64)) + """
 FROM customer LEFT JOIN embeddings ON c_custkey = vec_id""")
 def attach_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "c_custkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey")
     joined = joins.attach_vectors(customers, vectors, "c_custkey")
-    return joined.select("c_custkey", *[r(f"tfm_emb_{i}").alias(f"tfm_emb_{i}") for i in range(32)])
+    return joined.select("c_custkey", *[r(f"tfm_emb_{i}").alias(f"tfm_emb_{i}") for i in range(64)])
 
 
 @query("vector_coverage", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,3 +107,16 @@ def index_intensity(stringency: Column) -> Column:
 
 def index_flag(stringency: Column, above: float = INDEX_FLAG_ABOVE) -> Column:
     return (stringency > above).cast("int")
+
+
+def known(df: DataFrame, name: str) -> Column:
+    """The column with NaN, which stands for a missing value, as NULL."""
+    value = F.col(f"`{name}`")
+    kind = df.schema[name].dataType.typeName()
+    return F.when(~F.isnan(value), value) if kind in ("double", "float") else value
+
+
+def nan_as_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """NaN as NULL in the floating-point columns among ``columns``; nothing to do for the rest."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    return df.withColumns({c: known(df, c) for c in columns if kinds.get(c) in ("double", "float")})

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallytide.functions.scalars import known
 from tallytide.operators.layout import (
     BLOCK,
     CHUNK,
@@ -44,7 +45,7 @@ TREND_STATIONARY, INCONCLUSIVE = "TREND-STATIONARY", "INCONCLUSIVE"
 def _known(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Key, order and the known values as ``_y``."""
     value = F.col(spec.value).cast("double").alias("_y")
-    return df.filter(F.col(spec.value).isNotNull()).select(*dict.fromkeys([*spec.key, *spec.order_by]), value)
+    return df.filter(known(df, spec.value).isNotNull()).select(*dict.fromkeys([*spec.key, *spec.order_by]), value)
 
 
 def _demeaned(rows: DataFrame, spec: SeriesSpec, layout: Layout) -> DataFrame:

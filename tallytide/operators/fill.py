@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallytide.functions.scalars import known, nan_as_null
 from tallytide.operators.layout import CHUNK, Layout, attach_carry, carry_last, plan_layout, positions, tag_chunks
 from tallytide.schema import PLACEHOLDER
 from tallytide.series import SeriesSpec
@@ -16,17 +17,17 @@ OBSERVED = "is_stop_event"
 
 def mark_observations(df: DataFrame, value: str, marker: str = OBSERVED) -> DataFrame:
     """Flag the rows that carry an observation; must run before any fill."""
-    return df.withColumn(marker, F.col(value).isNotNull())
+    return df.withColumn(marker, known(df, value).isNotNull())
 
 
 def observations(df: DataFrame, value: str) -> DataFrame:
     """Only the rows that carry an observation."""
-    return df.filter(F.col(value).isNotNull())
+    return df.filter(known(df, value).isNotNull())
 
 
 def drop_unobserved(df: DataFrame, value: str) -> DataFrame:
     """After a fill: drop the rows before the first observation of their series."""
-    return df.filter(F.col(value).isNotNull())
+    return df.filter(known(df, value).isNotNull())
 
 
 def _fill(df: DataFrame, layout: Layout, columns: Sequence[str], reverse: bool) -> DataFrame:
@@ -42,15 +43,17 @@ def _fill(df: DataFrame, layout: Layout, columns: Sequence[str], reverse: bool)
 def forward_fill(
     df: DataFrame, spec: SeriesSpec, columns: Sequence[str] | None = None, layout: Layout | None = None
 ) -> DataFrame:
-    """Replace NULL by the last known value of the same series."""
-    return _fill(df, layout or plan_layout(df, spec), columns or [spec.value], reverse=False)
+    """Replace NULL and NaN by the last known value of the same series."""
+    columns = columns or [spec.value]
+    return _fill(nan_as_null(df, columns), layout or plan_layout(df, spec), columns, reverse=False)
 
 
 def backward_fill(
     df: DataFrame, spec: SeriesSpec, columns: Sequence[str] | None = None, layout: Layout | None = None
 ) -> DataFrame:
-    """Replace NULL by the next known value of the same series."""
-    return _fill(df, layout or plan_layout(df, spec), columns or [spec.value], reverse=True)
+    """Replace NULL and NaN by the next known value of the same series."""
+    columns = columns or [spec.value]
+    return _fill(nan_as_null(df, columns), layout or plan_layout(df, spec), columns, reverse=True)
 
 
 def fill_sparse_columns(
@@ -76,9 +79,9 @@ def fill_sparse_columns(
 def neighbours(df: DataFrame, spec: SeriesSpec, layout: Layout | None = None) -> DataFrame:
     """Add ``pos`` and the nearest known (pos, x) at or before and at or after each row."""
     layout = layout or plan_layout(df, spec)
-    indexed = positions(df, layout, "pos")
-    known = F.when(F.col(spec.value).isNotNull(), F.struct(F.col("pos"), F.col(spec.value).alias("x")))
-    pairs = indexed.withColumns({"prev": known, "next": known})
+    indexed = positions(nan_as_null(df, [spec.value]), layout, "pos")
+    point = F.when(F.col(spec.value).isNotNull(), F.struct(F.col("pos"), F.col(spec.value).alias("x")))
+    pairs = indexed.withColumns({"prev": point, "next": point})
     return _fill(_fill(pairs, layout, ["prev"], False), layout, ["next"], True)
 
 

@@ -34,9 +34,10 @@ def _search(gram: np.ndarray, used: int, max_p: int, max_q: int, difference: int
     """The (p, q) with the lowest AIC; (0, 0) is not a candidate."""
     long = _long_order(max_p, max_q)
     depth = long + max_q
-    # columns of ``gram``: 1, w(t), w(t-1), ..., w(t-depth)
+    # columns of ``gram``: 1, w(t), w(t-1), ..., at least up to w(t-depth)
     start, _, _ = least_squares(gram, 1, [0] + list(range(2, 2 + long)))
     size = depth + 2
+    gram = gram[:size, :size]
     to_model = np.zeros((size, 2 + max_p + max_q))
     for j in range(2 + max_p):
         to_model[j, j] = 1.0
@@ -67,6 +68,31 @@ def _search(gram: np.ndarray, used: int, max_p: int, max_q: int, difference: int
     return best
 
 
+def orders_for(depth: int, max_p: int, max_q: int) -> tuple[int, int]:
+    """The largest orders whose search looks at most ``depth`` values back.
+
+    The search needs p + 2q values; a long series has all orders, a short one keeps
+    the moving-average part down to a quarter of the depth.
+    """
+    if depth >= _long_order(max_p, max_q) + max_q:
+        return max_p, max_q
+    q = min(max_q, depth // 4)
+    return min(max_p, depth - 2 * q), q
+
+
+def _first_order(gram: np.ndarray, used: int, difference: int) -> dict:
+    """(1, d, 0) by least squares; without variation the last value, or the last step, is kept."""
+    constant = [0] if difference == 0 else []
+    beta, rss, _ = least_squares(gram, 1, [*constant, 2])
+    const, phi = (float(beta[0]) if constant else 0.0), float(np.clip(beta[-1], -1.0, 1.0))
+    if used == 0 and constant:
+        phi = 1.0
+    fits = used > len(constant) + 1 and rss > 0
+    aic = used * (math.log(2 * math.pi * rss / used) + 1) + 2 * (len(constant) + 2) if fits else None
+    return {"p": 1, "q": 0, "aic": aic, "sigma2": rss / used if used else None, "const": const,
+            "phi": np.array([phi]), "theta": np.empty(0), "long_ar": np.array([const, phi])}
+
+
 def order_search(
     df: DataFrame,
     spec: SeriesSpec,
@@ -77,17 +103,19 @@ def order_search(
 ) -> DataFrame:
     """(key, n, p, d, q, aic, sigma2, const, phi, theta, long_ar, tail): the best model of each series.
 
-    Series too short for the largest candidate (fewer than twice its regressors)
-    are left out. The AIC is that of the conditional regression. ``tail`` holds
-    the last values, which is all a forecast needs.
+    Every series with a known value has a model. The candidates of a short series stop at the
+    orders its own rows can tell apart (see :func:`orders_for`); where none can be fitted,
+    the model is (1, d, 0), from as many rows as there are. The AIC is that of the conditional
+    regression, NULL if there is none. ``tail`` holds the last values, which is all a forecast
+    needs.
     """
     rows = _known(df, spec)
     layout = layout or plan_layout(rows, spec)
     depth = _long_order(max_p, max_q) + max_q
     key = [*spec.key]
-    grams = lagged_gram(rows, spec.of("_y"), F.lit(depth), depth, d, False, layout).filter(
-        F.col("used") >= 2 * (depth + 2)
-    )
+    # a fit needs twice as many rows as it has columns: n - d - depth >= 2 * (depth + 2)
+    own = F.greatest(F.lit(1), F.least(F.lit(depth), F.floor((F.col("n") - d - 4) / 3)))
+    grams = lagged_gram(rows, spec.of("_y"), own, depth, d, False, layout)
     kinds = [("p", T.IntegerType()), ("d", T.IntegerType()), ("q", T.IntegerType()), ("aic", T.DoubleType()),
              ("sigma2", T.DoubleType()), ("const", T.DoubleType()), ("phi", _DOUBLES), ("theta", _DOUBLES),
              ("long_ar", _DOUBLES)]
@@ -97,16 +125,16 @@ def order_search(
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            fits = [
-                _search(np.asarray(g, dtype=float).reshape(depth + 2, depth + 2), int(used), max_p, max_q, d)
-                for g, used in zip(pdf["gram"], pdf["used"])
-            ]
-            keep = [f is not None for f in fits]
-            out = pdf.loc[keep, [*key, "n"]].copy()
-            good = [f for f in fits if f is not None]
+            fits = []
+            for g, used, deep in zip(pdf["gram"], pdf["used"], pdf["depth"]):
+                gram = np.asarray(g, dtype=float).reshape(int(deep) + 2, int(deep) + 2)
+                p, q = orders_for(int(deep), max_p, max_q)
+                found = _search(gram, int(used), p, q, d) if used >= 2 * (deep + 2) else None
+                fits.append(found or _first_order(gram, int(used), d))
+            out = pdf[[*key, "n"]].copy()
             for name, _ in kinds:
-                out[name] = [d if name == "d" else f[name] for f in good]
-            out["tail"] = pdf.loc[keep, "tail"]
+                out[name] = [d if name == "d" else f[name] for f in fits]
+            out["tail"] = pdf["tail"]
             yield out
 
     return grams.mapInPandas(solve, schema)
@@ -123,8 +151,8 @@ def _forecast(tail: np.ndarray, d: int, const: float, phi, theta, long_ar, steps
     for t in range(long, len(w)):
         errors[t] = w[t] - long_ar[0] - float(np.dot(long_ar[1:], w[t - long : t][::-1]))
     for _ in range(steps):
-        ar = sum(c * w[-1 - i] for i, c in enumerate(phi))
-        ma = sum(c * errors[-1 - i] for i, c in enumerate(theta))
+        ar = sum(c * w[-1 - i] for i, c in enumerate(phi) if i < len(w))
+        ma = sum(c * errors[-1 - i] for i, c in enumerate(theta) if i < len(errors))
         w.append(const + ar + ma)
         errors.append(0.0)
     out = np.asarray(w[len(levels[-1]) :])

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallytide.scale import TASK_ROWS, bound, reliable_checkpoint
+from tallytide.scale import TASK_ROWS, bound, null_safe_join, reliable_checkpoint
 from tallytide.series import SeriesSpec
 
 CHUNK = "_chunk"
@@ -67,7 +67,7 @@ def plan_layout(df: DataFrame, spec: SeriesSpec, limit: int | None = None) -> La
 
     rate = max(1, limit // _SAMPLES_PER_CHUNK)
     step = max(1, limit // rate)
-    sample = rows.join(F.broadcast(hot), [*spec.key], "left_semi").filter(
+    sample = null_safe_join(rows, hot, spec.key, "left_semi").filter(
         F.pmod(F.xxhash64(*spec.key, *spec.order_by), F.lit(rate)) == 0
     )
     ranked = sample.withColumn(
@@ -104,7 +104,7 @@ def tag_chunks(df: DataFrame, layout: Layout, hot_only: bool = False) -> DataFra
     if not layout.split:
         return df
     row = F.struct(*layout.spec.order_by)
-    joined = df.join(F.broadcast(layout.cuts), [*layout.spec.key], "inner" if hot_only else "left")
+    joined = null_safe_join(df, layout.cuts, layout.spec.key, "inner" if hot_only else "left")
     return joined.withColumn(CHUNK, _chunk_of(F.col(_CUTS), row)).drop(_CUTS)
 
 
@@ -114,7 +114,7 @@ def attach_carry(df: DataFrame, carry: DataFrame, layout: Layout) -> DataFrame:
     The state is written out first. Otherwise every operator of a chain would
     hold the plan before it twice, and the plan would double with each of them.
     """
-    return df.join(F.broadcast(reliable_checkpoint(carry)), layout.part, "left")
+    return null_safe_join(df, reliable_checkpoint(carry), layout.part)
 
 
 def carry_last(

@@ -34,13 +34,15 @@ def exact_quantiles(
     return _bracketed(clean, probs, by, name, limit)
 
 
-def _bracketed(clean: DataFrame, probs: list[float], by: list[str], name: str, limit: int) -> DataFrame:
+def _bracketed(
+    clean: DataFrame, probs: list[float], by: list[str], name: str, limit: int, widen: float = 1.0
+) -> DataFrame:
     # partial sums run before the shuffle, so a frequent value travels once per task
     values = reliable_checkpoint(clean.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")))
     largest = values.groupBy(*by).agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0] or 0
     accuracy = max(_MIN_ACCURACY, -(-4 * largest // limit))
     # the sketch may be off by 1/accuracy, and interpolation needs the two ranks around p
-    slack = 2.0 / accuracy + 3.0 / limit
+    slack = widen * (2.0 / accuracy + 3.0 / limit)
     wanted = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
     sketch = clean.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_rows"),
@@ -85,11 +87,12 @@ def _bracketed(clean: DataFrame, probs: list[float], by: list[str], name: str, l
         F.min(F.when(F.col("_upto") > F.floor("_at"), F.col("_v"))).alias("_a"),
         F.min(F.when(F.col("_upto") > F.ceil("_at"), F.col("_v"))).alias("_b"),
     )
+    picked = reliable_checkpoint(picked)  # a row for each group and quantile
+    missed = (F.col("_below") > F.floor("_at")) | F.col("_a").isNull() | F.col("_b").isNull()
+    if not picked.filter(missed).isEmpty():  # the sketch was off by more than it promises
+        return _bracketed(clean, probs, by, name, limit, widen * 16)
     share = F.col("_at") - F.floor("_at")
-    value = F.when(
-        (F.col("_below") > F.floor("_at")) | F.col("_a").isNull() | F.col("_b").isNull(),
-        F.raise_error(F.lit("quantile outside its bracket")),
-    ).otherwise((1 - share) * F.col("_a") + share * F.col("_b"))
+    value = (1 - share) * F.col("_a") + share * F.col("_b")
     rows = picked.withColumn("_q", value)
     gathered = F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))), lambda s: s["_q"])
     return rows.groupBy(*by).agg(gathered.alias(name))

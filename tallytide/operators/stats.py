@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallytide.functions.scalars import nan_as_null
 from tallytide.operators.quantiles import exact_quantiles, quantile_values
 from tallytide.scale import dimension_join, reliable_checkpoint
 from tallytide.schema import LABELS, PLACEHOLDER
@@ -26,6 +27,7 @@ def counts_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def mean_by(df: DataFrame, by: Sequence[str | Column], value: str, name: str = "mean") -> DataFrame:
+    df = nan_as_null(df, [value])
     return df.groupBy(*by).agg(F.avg(value).alias(name))
 
 
@@ -38,12 +40,14 @@ def peak(profile: DataFrame, by: Sequence[str], at: str, mean: str) -> DataFrame
 
 def top_groups(df: DataFrame, group: str, value: str, n: int = 25) -> DataFrame:
     """The n groups with the highest mean, the placeholder group left out."""
+    df = nan_as_null(df, [value])
     means = df.filter(F.col(group) != PLACEHOLDER).groupBy(group).agg(F.avg(value).alias("mean"))
     return means.orderBy(F.desc("mean"), F.asc(group)).limit(n)
 
 
 def group_distribution(df: DataFrame, group: str, value: str, probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Rows, mean and quantiles of the known values per group, the placeholder group left out."""
+    df = nan_as_null(df, [value])
     kept = df.filter((F.col(group) != PLACEHOLDER) & F.col(value).isNotNull()).select(group, value)
     moments = kept.groupBy(group).agg(
         F.count(value).alias("n"), F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max")
@@ -59,6 +63,7 @@ def skewness(x: str) -> Column:
 
 def summary(df: DataFrame, value: str) -> DataFrame:
     """min, mean, median, max and skewness of one column."""
+    df = nan_as_null(df, [value])
     median = quantile_values(df, value, [0.5])
     return df.agg(
         F.min(value).alias("min"),
@@ -119,6 +124,7 @@ def missing_stats(df: DataFrame) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations over pairwise complete rows: (a, b, r), both triangles and the diagonal."""
+    df = nan_as_null(df, columns)
     pairs = list(combinations(columns, 2))
     both = {(a, b): F.col(a).isNotNull() & F.col(b).isNotNull() for a, b in pairs}
     row = df.agg(
@@ -137,6 +143,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def correlation_rank(df: DataFrame, columns: Sequence[str], target: str, n: int = 5) -> DataFrame:
     """The n columns with the strongest correlation with ``target``."""
+    df = nan_as_null(df, [*columns, target])
     against = df.agg(*[F.corr(c, target).alias(c) for c in columns if c != target])
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("r")) for c in against.columns])
     listed = against.select(F.inline(entries)).filter(F.col("r").isNotNull())
@@ -150,6 +157,7 @@ def _bin(x: Column, low: Column, high: Column, bins: int) -> Column:
 
 def histogram(df: DataFrame, value: str, bins: int = BINS) -> DataFrame:
     """Equal-width bins between minimum and maximum; the last one is closed, empty ones are kept."""
+    df = nan_as_null(df, [value])
     known = df.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("_v"))
     low, high = known.agg(F.min("_v"), F.max("_v")).first()
     if low is None:
@@ -167,6 +175,7 @@ def histogram(df: DataFrame, value: str, bins: int = BINS) -> DataFrame:
 
 def density_histogram(df: DataFrame, value: str, group: str, bins: int = BINS) -> DataFrame:
     """A histogram per group over its own range, scaled to area 1; only bins with rows."""
+    df = nan_as_null(df, [value])
     known = df.filter(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias("_v"))
     ranges = known.groupBy(group).agg(
         F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count(F.lit(1)).alias("_n")
@@ -182,6 +191,7 @@ def density_histogram(df: DataFrame, value: str, group: str, bins: int = BINS) -
 
 def quantile_bins(df: DataFrame, by: str, value: str, q: int = 10) -> DataFrame:
     """Mean of ``value`` in quantile bins of ``by``; bins are right-closed, equal edges are merged."""
+    df = nan_as_null(df, [by, value])
     complete = df.filter(F.col(by).isNotNull() & F.col(value).isNotNull()).select(
         F.col(by).cast("double").alias("_b"), value
     )
@@ -194,6 +204,7 @@ def quantile_bins(df: DataFrame, by: str, value: str, q: int = 10) -> DataFrame:
 
 def mean_by_flag(df: DataFrame, flag: str, values: Sequence[str]) -> DataFrame:
     """Means by a 0/1 column, with the count and percentage of rows where it is set."""
+    df = nan_as_null(df, values)
     state = F.col(flag).cast("boolean")
     entries = []
     for v in values:
@@ -208,6 +219,7 @@ def mean_by_flag(df: DataFrame, flag: str, values: Sequence[str]) -> DataFrame:
 
 def mean_of_means(df: DataFrame, series: Sequence[str], bucket: Column, value: str) -> DataFrame:
     """(hour, mean_pax): mean per series and bucket, then the unweighted mean of those."""
+    df = nan_as_null(df, [value])
     per_series = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*series, bucket.alias("hour"))
@@ -218,6 +230,7 @@ def mean_of_means(df: DataFrame, series: Sequence[str], bucket: Column, value: s
 
 def fill_coverage(df: DataFrame, before: str, after: str) -> DataFrame:
     """How many rows have a value before and after the fill, and how many would be dropped."""
+    df = nan_as_null(df, [before, after])
     total = F.count(F.lit(1))
     safe = F.when(total > 0, total)
     return df.agg(
@@ -231,11 +244,11 @@ def fill_coverage(df: DataFrame, before: str, after: str) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, distinct_values), each counted by grouping on the value first."""
-    parts = None
-    for c in columns:
-        one = df.select(c).filter(F.col(c).isNotNull()).groupBy(c).agg(F.lit(1).alias("_x")).agg(
-            F.count(F.lit(1)).alias("distinct_values")
-        ).select(F.lit(c).alias("column"), "distinct_values")
-        parts = one if parts is None else parts.unionByName(one)
-    return parts
+    """(column, distinct_values): one scan, one shuffle of the distinct (column, value) pairs."""
+    columns = list(columns)
+    entry = [F.struct(F.lit(i).alias("i"), F.to_json(F.struct(F.col(c).alias("v"))).alias("v"),
+                      F.col(c).isNull().alias("none")) for i, c in enumerate(columns)]
+    pairs = df.select(F.inline(F.array(*entry))).groupBy("i", "v", "none").agg(F.lit(1).alias("_x"))
+    known = pairs.groupBy("i").agg(F.count_if(~F.col("none")).alias("distinct_values"))
+    names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1)
+    return known.select(names.alias("column"), "distinct_values")

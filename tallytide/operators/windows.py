@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallytide.functions.scalars import nan_as_null
 from tallytide.operators.fill import OBSERVED, between_neighbours, neighbours
 from tallytide.operators.layout import (
     CHUNK,
@@ -60,6 +61,7 @@ def rolling_stats(
     not depend on w. Sums start afresh in each segment, around its first value,
     which keeps the deviations exact when the level drifts.
     """
+    df = nan_as_null(df, columns)
     layout = layout or plan_layout(df, spec)
     columns = {c: p for c, p in columns.items() if c in df.columns}
     segment = max(windows)
@@ -116,6 +118,7 @@ def first_difference(
     df: DataFrame, spec: SeriesSpec, name: str = "acceleration", layout: Layout | None = None
 ) -> DataFrame:
     """``x - previous x``; NULL on the first row of a series."""
+    df = nan_as_null(df, [spec.value])
 
     def add(frame: DataFrame, key: list[str], order: list[str]) -> DataFrame:
         previous = F.lag(spec.value, 1).over(Window.partitionBy(*key).orderBy(*order))
@@ -128,6 +131,7 @@ def dense_lag(
     df: DataFrame, spec: SeriesSpec, rows: int, name: str = "dense_lag", layout: Layout | None = None
 ) -> DataFrame:
     """The value ``rows`` rows ago. On filled data this mostly repeats the current value."""
+    df = nan_as_null(df, [spec.value])
 
     def add(frame: DataFrame, key: list[str], order: list[str]) -> DataFrame:
         return frame.withColumn(name, F.lag(spec.value, rows).over(Window.partitionBy(*key).orderBy(*order)))
@@ -139,6 +143,7 @@ def observation_index(
     df: DataFrame, spec: SeriesSpec, name: str = "stop_index", layout: Layout | None = None
 ) -> DataFrame:
     """Keep the observations and number them from 0 in each series."""
+    df = nan_as_null(df, [spec.value])
     stops = df.filter(F.col(spec.value).isNotNull())
     return positions(stops, layout or plan_layout(stops, spec), name)
 
@@ -158,6 +163,7 @@ def event_lag(
     rows up to the next mark, so it never repeats the current value the way a
     lag over filled rows does.
     """
+    df = nan_as_null(df, [spec.value])
     if marker not in df.columns:
         raise ValueError(f"event_lag needs the marker column {marker!r}; mark observations before filling")
     layout = layout or plan_layout(df, spec)
@@ -257,6 +263,7 @@ def context_windows(
     the last few arrays put together, instead of copying every row into each of
     the length/stride contexts that contain it.
     """
+    df = nan_as_null(df, [spec.value])
     layout = layout or plan_layout(df, spec)
     indexed = neighbours(df, spec, layout) if fill_gaps else positions(df, layout, "pos")
     step = F.floor((F.col("pos") - minimum) / stride)

@@ -12,7 +12,9 @@ test can lower them:
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,8 +32,10 @@ def bound(spark: SparkSession, name: str) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see; a local one only where the session names none, as in tests."""
+    """The folder all executors see; a local one only where there is one machine, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     return (named or tempfile.gettempdir()).rstrip("/")
 
 
@@ -43,12 +47,20 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def same_key(left: str, right: str, columns: Sequence[str]) -> Column:
-    """Equality on ``columns`` of two aliased frames that also matches NULL to NULL."""
-    condition = F.lit(True)
-    for name in columns:
-        condition = condition & F.col(f"{left}.`{name}`").eqNullSafe(F.col(f"{right}.`{name}`"))
-    return condition
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal keys where NULL equals NULL; ``right`` is broadcast if it is proven small."""
+    tag = uuid.uuid4().hex[:8]
+    renamed = right.withColumnsRenamed({c: f"_{tag}_{c}" for c in on})
+    condition: Column = F.lit(True)
+    for name in on:
+        condition = condition & left[f"`{name}`"].eqNullSafe(renamed[f"`_{tag}_{name}`"])
+    joined = left.join(small_or_shuffled(renamed), condition, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_{tag}_{c}" for c in on])
+
+
+def small_or_shuffled(df: DataFrame, width: int | None = None) -> DataFrame:
+    """Marked for broadcast where its size has been checked, else left to a shuffle."""
+    return F.broadcast(df) if fits_broadcast(df, width) else df
 
 
 def row_width(df: DataFrame, array_items: int = 64) -> int:
@@ -64,9 +76,8 @@ def row_width(df: DataFrame, array_items: int = 64) -> int:
 
 
 def fits_broadcast(df: DataFrame, width: int | None = None) -> bool:
-    """True when ``df`` is proven small; reads at most one row above the bound."""
-    allowed = bound(df.sparkSession, BROADCAST_BYTES) // (width or row_width(df))
-    return df.limit(allowed + 1).count() <= allowed
+    """True when ``df`` is proven small, by a count: one number from each partition."""
+    return df.count() * (width or row_width(df)) <= bound(df.sparkSession, BROADCAST_BYTES)
 
 
 def dimension_join(
@@ -82,7 +93,8 @@ def dimension_join(
     A small ``dim`` is broadcast. Otherwise both sides are shuffled on the key,
     and keys with more rows than one task may hold are split over several
     salts: the fact row picks its salt from ``spread_by`` and the few matching
-    dimension rows are repeated once per salt.
+    dimension rows are repeated once per salt. Rows with a NULL key match nothing
+    but are spread in the same way.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -102,12 +114,12 @@ def dimension_join(
         return fact.join(dim, on, how)
     spread = list(spread_by) or [c for c in fact.columns if c not in on]
     salted_fact = (
-        fact.join(F.broadcast(hot), on, "left")
+        null_safe_join(fact, hot, on)
         .withColumn(_SALT, F.coalesce(F.pmod(F.xxhash64(*spread), F.col(_SALTS)), F.lit(0)).cast("int"))
         .drop(_SALTS)
     )
     salted_dim = (
-        dim.join(F.broadcast(hot), on, "left")
+        null_safe_join(dim, hot, on)
         .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
         .drop(_SALTS)
     )

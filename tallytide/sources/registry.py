@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallytide.schema import METRICS
+from tallytide.schema import LABELS, METRICS
 
 _KEY = ("run", "framework", "model")
 
@@ -72,8 +72,9 @@ class Registry:
         return PipelineModel.load(path)
 
     def comparison(self, run: str | None = None) -> DataFrame:
-        """Framework ascending, macro-F1 descending."""
-        columns = ["framework", "model", "macro_f1", "balanced_accuracy", "train_time_s", "predict_time_s"]
+        """Framework ascending, macro-F1 descending, with the F1 of every class."""
+        columns = ["framework", "model", "macro_f1", "balanced_accuracy",
+                   *[F.col("per_class")[c]["f1"].alias(f"f1_{c}") for c in LABELS], "train_time_s", "predict_time_s"]
         return self.results(run).select(*columns).orderBy("framework", F.desc("macro_f1"), "model")
 
     def _model_path(self, run: str, framework: str, model: str) -> str:
@@ -87,5 +88,8 @@ def write_table(df: DataFrame, path: str, order_by: Sequence, kind: str = "csv",
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    """Add rows to an existing comparison table."""
-    df.write.mode("append").option("header", True).csv(path)
+    """Add rows to an existing comparison table, by the names in its header."""
+    header = df.sparkSession.read.option("header", True).csv(path).columns
+    if sorted(header) != sorted(df.columns):
+        raise ValueError(f"columns {df.columns} do not match those of the table, {header}")
+    df.select(*[F.col(f"`{c}`") for c in header]).write.mode("append").option("header", True).csv(path)
