@@ -157,7 +157,7 @@ def _forecast(tail: np.ndarray, d: int, const: float, phi, theta, long_ar, steps
         errors.append(0.0)
     out = np.asarray(w[len(levels[-1]) :])
     for level in reversed(levels[:-1]):
-        out = level[-1] + np.cumsum(out)
+        out = (level[-1] if len(level) else 0.0) + np.cumsum(out)
     return out
 
 

@@ -56,13 +56,26 @@ TELEMETRY = T.StructType(
     )
 )
 
-# The columns the feature work reads.
-TELEMETRY_READ = (
-    "time_iso time_unix gnss_latitude gnss_longitude gnss_altitude itcs_busRoute "
-    "itcs_numberOfPassengers itcs_stopName odometry_vehicleSpeed status_doorIsOpen "
-    "status_gridIsAvailable status_haltBrakeIsActive status_parkBrakeIsActive "
-    "temperature_ambient electric_powerDemand traction_tractionForce traction_brakePressure"
-).split()
+# The columns the feature work reads.
+TELEMETRY_READ = [
+    "time_iso",
+    "time_unix",
+    "gnss_latitude",
+    "gnss_longitude",
+    "gnss_altitude",
+    "itcs_busRoute",
+    "itcs_numberOfPassengers",
+    "itcs_stopName",
+    "odometry_vehicleSpeed",
+    "status_doorIsOpen",
+    "status_gridIsAvailable",
+    "status_haltBrakeIsActive",
+    "status_parkBrakeIsActive",
+    "temperature_ambient",
+    "electric_powerDemand",
+    "traction_tractionForce",
+    "traction_brakePressure",
+]
 
 METADATA = T.StructType(
     _struct(T.StringType(), "name")
@@ -99,22 +112,37 @@ METRICS = T.StructType(
 
 # Feature name -> group, exact names first, then prefixes.
 FEATURE_GROUPS = {
-    "Temporal": "hour dayofweek month year is_weekend is_rush_hour",
-    "Spatial": "lat_deg lon_deg gnss_altitude",
-    "Operational": (
-        "speed_kmh acceleration speed_roll_mean_60 speed_roll_std_60 "
-        "speed_roll_mean_300 speed_roll_std_300"
-    ),
-    "Sensor": (
-        "electric_powerDemand power_roll_mean_60 power_roll_std_60 power_roll_mean_300 "
-        "power_roll_std_300 traction_tractionForce traction_brakePressure"
-    ),
-    "Status": (
-        "status_doorIsOpen status_gridIsAvailable status_haltBrakeIsActive "
-        "status_parkBrakeIsActive"
-    ),
-    "COVID": "covid_flag covid_intensity",
-    "Lag": "pax_stop_lag_1 pax_stop_lag_3 pax_stop_lag_5",
+    "hour": "Temporal",
+    "dayofweek": "Temporal",
+    "month": "Temporal",
+    "year": "Temporal",
+    "is_weekend": "Temporal",
+    "is_rush_hour": "Temporal",
+    "lat_deg": "Spatial",
+    "lon_deg": "Spatial",
+    "gnss_altitude": "Spatial",
+    "speed_kmh": "Operational",
+    "acceleration": "Operational",
+    "speed_roll_mean_60": "Operational",
+    "speed_roll_std_60": "Operational",
+    "speed_roll_mean_300": "Operational",
+    "speed_roll_std_300": "Operational",
+    "electric_powerDemand": "Sensor",
+    "power_roll_mean_60": "Sensor",
+    "power_roll_std_60": "Sensor",
+    "power_roll_mean_300": "Sensor",
+    "power_roll_std_300": "Sensor",
+    "traction_tractionForce": "Sensor",
+    "traction_brakePressure": "Sensor",
+    "status_doorIsOpen": "Status",
+    "status_gridIsAvailable": "Status",
+    "status_haltBrakeIsActive": "Status",
+    "status_parkBrakeIsActive": "Status",
+    "covid_flag": "COVID",
+    "covid_intensity": "COVID",
+    "pax_stop_lag_1": "Lag",
+    "pax_stop_lag_3": "Lag",
+    "pax_stop_lag_5": "Lag",
 }
 FEATURE_GROUP_PREFIXES = {"route_": "Categorical", "stop_": "Categorical"}
 UNKNOWN_GROUP = "Unknown"
