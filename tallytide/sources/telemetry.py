@@ -17,6 +17,7 @@ from tallytide.scale import dimension_join
 from tallytide.schema import METADATA, TELEMETRY
 
 CORRUPT = "_corrupt"
+PRUNE_NAMES = 1_000  # series that are named one by one in a filter on files
 
 
 def _read_csv(spark: SparkSession, paths: str | Sequence[str], known: T.StructType) -> DataFrame:
@@ -93,8 +94,12 @@ def read_missions(
 
     The series name is the file name without ``.csv``, or the value of a
     ``mission_name=`` folder. Metadata rows without a file drop out, as do files
-    without metadata. ``only`` names a few series and prunes the other files.
+    without metadata. ``only`` names a few series and prunes the other files; it is taken from
+    the metadata if that has at most ``PRUNE_NAMES`` of them.
     """
+    if only is None:
+        names = [r["name"] for r in meta.select("name").distinct().limit(PRUNE_NAMES + 1).collect()]
+        only = names if len(names) <= PRUNE_NAMES else None
     try:
         rows = _read_csv(spark, directory, schema)
     except AnalysisException as error:
