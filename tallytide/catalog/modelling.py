@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallytide.catalog.base import EVENTS, LAGGED_SQL, LINES, events, lines, query, r, table
@@ -153,6 +153,29 @@ def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduced.select("vec_id", *[r(F.get("embedding", i), 5).alias(f"c{i}") for i in range(32)])
 
 
+@query("pca_full_rank", """
+WITH keys AS (SELECT vec_id, row_number() OVER (ORDER BY md5(vec_id || '|42')) AS rank, count(*) OVER () AS n FROM embeddings),
+long AS (SELECT e.vec_id, rank > ceil(n / 5) AS train, i, CAST(embedding[i] AS DOUBLE) AS x
+         FROM embeddings e JOIN keys USING (vec_id), (SELECT unnest(range(1, 65)) AS i)),
+mean AS (SELECT i, avg(x) AS m FROM long WHERE train GROUP BY 1),
+first AS (SELECT i, x - m AS f FROM long JOIN mean USING (i) WHERE vec_id = (SELECT min(vec_id) FROM embeddings))
+SELECT vec_id, round(sum((x - m) * (x - m)), 4) AS square, round(sum((x - m) * f), 4) AS with_first
+FROM long JOIN mean USING (i) JOIN first USING (i) GROUP BY 1""")
+def pca_full_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With all components a reduction is a turn about the training mean: lengths and products stay."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    train, _ = sampling.group_split(vectors, "vec_id")
+    reduced = models.fit_reduction(train, 64).apply(vectors)
+    first = F.array(*[F.lit(x) for x in reduced.agg(F.min_by("embedding", "vec_id")).first()[0]])  # one vector
+
+    def dot(other: Column) -> Column:
+        products = F.zip_with("embedding", other, lambda x, y: x * y)
+        return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
+
+    return reduced.select(
+        "vec_id", r(dot(F.col("embedding")), 4).alias("square"), r(dot(first), 4).alias("with_first"))
+
+
 def _matrices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
     """Train and test rows with the names of their features."""
     train, test = sampling.group_split(_prepared(spark, sf_dir), "user_id")
@@ -168,6 +191,29 @@ def _fit_and_score(spark: SparkSession, sf_dir: str, name: str, **sizes: int) ->
     return _per_class(evaluate(models.predict(model, test, features), models.TARGET, models.PREDICTED))
 
 
+_SUPPORT_SQL = "WITH " + LAGGED_SQL + """,
+full_rows AS (
+  SELECT *, lag(speed) OVER o AS before, count(speed) OVER w20 AS ns, count(power) OVER w20 AS np
+  FROM lagged WHERE x IS NOT NULL
+  WINDOW o AS (PARTITION BY user_id ORDER BY ts, event_id),
+         w20 AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)),
+keys AS (SELECT user_id, row_number() OVER (ORDER BY md5(user_id || '|42')) AS rank, count(*) OVER () AS n
+         FROM (SELECT DISTINCT user_id FROM full_rows)),
+q AS (SELECT quantile_cont(x, 1/3) AS q1, quantile_cont(x, 2/3) AS q2 FROM full_rows JOIN keys USING (user_id) WHERE rank > ceil(n / 5)),
+k AS (SELECT unnest(['low', 'medium', 'high']) AS label),
+test AS (
+  SELECT CASE WHEN x <= q1 THEN 'low' WHEN x <= q2 THEN 'medium' ELSE 'high' END AS label
+  FROM full_rows JOIN keys USING (user_id), q
+  WHERE rank <= ceil(n / 5) AND ns = 20 AND np = 20 AND before IS NOT NULL AND pax_stop_lag_5 IS NOT NULL)
+SELECT label, (SELECT count(*) FROM test t WHERE t.label = k.label) AS support FROM k"""
+
+
+@query("fit_support", _SUPPORT_SQL)
+def fit_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each class that a model was scored on: split, boundaries of the training part, complete rows."""
+    return _fit_and_score(spark, sf_dir, "decision_tree").select("label", "support")
+
+
 @query("fit_tree")
 def fit_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit_and_score(spark, sf_dir, "decision_tree")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallytide.catalog.base import (
@@ -19,6 +19,7 @@ from tallytide.catalog.base import (
     query,
     r,
 )
+from tallytide.catalog.unit_root import COUNTS_SQL, QUANTITY_SQL, adf_sql, stationarity_sql
 from tallytide.operators import diagnostics, forecast
 from tallytide.operators.fill import drop_unobserved, fill_sparse_columns, forward_fill, interpolate
 from tallytide.operators.layout import plan_layout
@@ -289,17 +290,39 @@ def kpss(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("adf")
+@query("adf", "WITH RECURSIVE " + QUANTITY_SQL.format(p="q_") + "," + adf_sql("q_") + """
+SELECT l_suppkey, n, round(adf_stat, 6) AS adf_stat, round(adf_p, 6) AS adf_p, adf_lag FROM q_adf""")
 def adf(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = diagnostics.adf(lines(spark, sf_dir), LINES)
-    return out.withColumns({"adf_stat": r("adf_stat"), "adf_p": r("adf_p")})
+    return out.withColumns({"adf_stat": r("adf_stat"), "adf_p": r("adf_p"), "adf_lag": F.col("adf_lag").cast("long")})
 
 
-@query("stationarity_verdict")
+@query("stationarity_verdict", "WITH RECURSIVE " + QUANTITY_SQL.format(p="q_") + "," + stationarity_sql("q_")
+       + COUNTS_SQL + "FROM q_verdict")
 def stationarity_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diagnostics.verdict_counts(diagnostics.stationarity(lines(spark, sf_dir), LINES))
 
 
+@query("retest_differences", "WITH RECURSIVE " + QUANTITY_SQL.format(p="q_") + """,
+s_y AS (SELECT l_suppkey, pos, sum(y - 25.5) OVER (PARTITION BY l_suppkey ORDER BY pos) AS y FROM q_y),""" + stationarity_sql("s_") + """,
+d_y AS (
+  SELECT l_suppkey, pos - 1 AS pos, y - before AS y
+  FROM (SELECT *, lag(y) OVER (PARTITION BY l_suppkey ORDER BY pos) AS before FROM s_y)
+       SEMI JOIN (SELECT l_suppkey FROM s_verdict WHERE verdict IN ('NON-STATIONARY', 'TREND-STATIONARY')) USING (l_suppkey)
+  WHERE before IS NOT NULL),""" + stationarity_sql("d_") + """
+SELECT l_suppkey, n, round(adf_stat, 4) AS adf_stat, adf_lag, round(kpss_stat, 4) AS kpss_stat, verdict FROM d_verdict""")
+def retest_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running sums of the quantities wander; their differences do not."""
+    upto = Window.partitionBy(*LINES.key).orderBy(*LINES.order_by)
+    sums = lines(spark, sf_dir).withColumn("level", F.sum(F.col("l_quantity") - 25.5).over(upto))
+    levels = LINES.of("level")
+    out = diagnostics.retest_differences(sums, levels, diagnostics.stationarity(sums, levels), diagnostics.MIN_TEST_ROWS)
+    return out.select(
+        "l_suppkey", "n", r("adf_stat", 4).alias("adf_stat"), F.col("adf_lag").cast("long").alias("adf_lag"),
+        r("kpss_stat", 4).alias("kpss_stat"), "verdict",
+    )
+
+
 @query("ar_order_search")
 def ar_order_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = forecast.order_search(lines(spark, sf_dir), LINES)
