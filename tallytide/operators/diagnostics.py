@@ -418,6 +418,7 @@ def stationarity(
     df: DataFrame, spec: SeriesSpec, min_rows: int = MIN_TEST_ROWS, layout: Layout | None = None
 ) -> DataFrame:
     """Both tests and the verdict per series."""
+    layout = layout or plan_layout(_known(df, spec), spec)
     both = adf(df, spec, min_rows, layout=layout).join(kpss(df, spec, min_rows, layout).drop("n"), [*spec.key])
     return both.withColumns(
         {

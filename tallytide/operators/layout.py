@@ -17,12 +17,12 @@ executor is lost produces the same chunks.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallytide.scale import TASK_ROWS, bound, null_safe_join, reliable_checkpoint
+from tallytide.scale import TASK_ROWS, bound, null_safe_join, reliable_checkpoint, small_or_shuffled
 from tallytide.series import SeriesSpec
 
 CHUNK = "_chunk"
@@ -34,11 +34,15 @@ _SAMPLES_PER_CHUNK = 64
 
 @dataclass(frozen=True)
 class Layout:
-    """The chunks of the large series; ``cuts`` is None when there are none."""
+    """The chunks of the large series; ``cuts`` is None when there are none.
+
+    ``offsets`` holds the rows before each chunk where they are known (see ``shared``).
+    """
 
     spec: SeriesSpec
     limit: int
     cuts: DataFrame | None = None
+    offsets: DataFrame | None = None
 
     @property
     def split(self) -> bool:
@@ -76,7 +80,7 @@ def plan_layout(df: DataFrame, spec: SeriesSpec, limit: int | None = None) -> La
     cuts = ranked.groupBy(*spec.key).agg(
         F.array_sort(F.collect_list(F.struct(*spec.order_by))).alias(_CUTS)
     )
-    return Layout(spec, limit, reliable_checkpoint(cuts))
+    return Layout(spec, limit, small_or_shuffled(reliable_checkpoint(cuts)))
 
 
 def _chunk_of(cuts: Column, row: Column) -> Column:
@@ -104,7 +108,7 @@ def tag_chunks(df: DataFrame, layout: Layout, hot_only: bool = False) -> DataFra
     if not layout.split:
         return df
     row = F.struct(*layout.spec.order_by)
-    joined = null_safe_join(df, layout.cuts, layout.spec.key, "inner" if hot_only else "left")
+    joined = null_safe_join(df, layout.cuts, layout.spec.key, "inner" if hot_only else "left", sized=True)
     return joined.withColumn(CHUNK, _chunk_of(F.col(_CUTS), row)).drop(_CUTS)
 
 
@@ -139,6 +143,31 @@ def carry_last(
     )
 
 
+def _offsets(df: DataFrame, layout: Layout) -> DataFrame:
+    """Per chunk of the cut series: the rows before it and those of its series; written out."""
+    needed = [*layout.spec.key, *[c for c in layout.spec.order_by if c not in layout.spec.key]]
+    counts = tag_chunks(df.select(*needed), layout, hot_only=True).groupBy(*layout.part).count()
+    by_key = Window.partitionBy(*layout.spec.key)
+    earlier = by_key.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return small_or_shuffled(reliable_checkpoint(counts.select(
+        *layout.part,
+        F.sum("count").over(earlier).alias(_OFFSET),
+        F.sum("count").over(by_key).alias(_TOTAL),
+    )))
+
+
+def shared(df: DataFrame, layout: Layout) -> tuple[DataFrame, Layout]:
+    """For a chain of operators that keep the rows of ``df``: the rows written out once, numbered once.
+
+    Each operator on a cut series reads its input for the state that crosses the cuts. Without
+    this, what lies before the chain would be computed anew by each of them.
+    """
+    if not layout.split:
+        return df, layout
+    rows = reliable_checkpoint(df)
+    return rows, replace(layout, offsets=_offsets(rows, layout))
+
+
 def positions(
     df: DataFrame, layout: Layout, name: str = "pos", length: str | None = None
 ) -> DataFrame:
@@ -149,16 +178,8 @@ def positions(
         out = df.withColumn(name, local)
         return out.withColumn(length, rows) if length else out
 
-    needed = [*layout.spec.key, *[c for c in layout.spec.order_by if c not in layout.spec.key]]
-    counts = tag_chunks(df.select(*needed), layout, hot_only=True).groupBy(*layout.part).count()
-    by_key = Window.partitionBy(*layout.spec.key)
-    earlier = by_key.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *layout.part,
-        F.sum("count").over(earlier).alias(_OFFSET),
-        F.sum("count").over(by_key).alias(_TOTAL),
-    )
-    out = attach_carry(tag_chunks(df, layout), offsets, layout)
+    offsets = layout.offsets if layout.offsets is not None else _offsets(df, layout)
+    out = null_safe_join(tag_chunks(df, layout), offsets, layout.part, sized=True)
     out = out.withColumn(name, local + F.coalesce(F.col(_OFFSET), F.lit(0)))
     if length:
         out = out.withColumn(length, F.coalesce(F.col(_TOTAL), rows))

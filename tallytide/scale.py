@@ -47,14 +47,19 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join on equal keys where NULL equals NULL; ``right`` is broadcast if it is proven small."""
+def null_safe_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", sized: bool = False
+) -> DataFrame:
+    """Join on equal keys where NULL equals NULL; ``right`` is broadcast if it is proven small.
+
+    ``sized``: ``right`` comes from ``small_or_shuffled`` and need not be counted again.
+    """
     tag = uuid.uuid4().hex[:8]
     renamed = right.withColumnsRenamed({c: f"_{tag}_{c}" for c in on})
     condition: Column = F.lit(True)
     for name in on:
         condition = condition & left[f"`{name}`"].eqNullSafe(renamed[f"`_{tag}_{name}`"])
-    joined = left.join(small_or_shuffled(renamed), condition, how)
+    joined = left.join(renamed if sized else small_or_shuffled(renamed), condition, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_{tag}_{c}" for c in on])
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tallytide.operators import diagnostics, encode, fill, joins, quantiles, sampling, stats, windows
 from tallytide.operators.forecast import forecast, order_search, orders_for
-from tallytide.operators.layout import plan_layout, tag_chunks
+from tallytide.operators.layout import plan_layout, shared, tag_chunks
 from tallytide.plans.hourly import evaluate_forecast, forecast_hours
-from tallytide.scale import BROADCAST_BYTES, dimension_join, shared_folder
+from tallytide.scale import BROADCAST_BYTES, dimension_join, reliable_checkpoint, shared_folder
 from tallytide.series import SeriesSpec
 from tallytide.sources.registry import append_rows, write_table
 
@@ -220,3 +220,37 @@ def test_statistics_with_gaps(gaps):
     found = diagnostics.autocovariances(gaps, SPEC, 2).first()
     want = [float(known[k:] @ known[: len(known) - k]) / len(known) for k in range(3)]
     assert found["n"] == s.notna().sum() and found["gamma"] == pytest.approx(want)
+
+
+def test_a_chain_on_cut_series_reads_its_input_once(spark, small_tasks):
+    spec = SeriesSpec("k", "t", "v")
+    rows = spark.createDataFrame(
+        [(k, t, float((t * 7 + k) % 11) if t % 3 == 0 else None, float(t * t % 13)) for k in range(3) for t in range(200)],
+        "k int, t int, v double, speed double")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for pdf in frames:
+            reads.add(len(pdf))
+            yield pdf
+
+    def chain(source):
+        layout = plan_layout(rows, spec)
+        out, layout = shared(source, layout)
+        before = reads.value
+        out = windows.rolling_stats(out, spec, {"speed": "speed"}, [5, 20], layout)
+        out = windows.first_difference(out, spec.of("speed"), layout=layout)
+        out = windows.event_lag(out, spec, layout=layout)
+        return out, layout, before
+
+    filled = fill.fill_sparse_columns(rows, spec)
+    want = {(r["k"], r["t"]): r for r in chain(filled)[0].collect()}
+    small_tasks(40)
+    source = reliable_checkpoint(filled).mapInPandas(counted, filled.schema)
+    out, layout, before = chain(source)
+    got = out.collect()
+    assert layout.split and before == reads.value == 600  # written out once, never read again
+    assert len(got) == 600
+    for r in got:
+        for name, value in want[r["k"], r["t"]].asDict().items():
+            assert r[name] == pytest.approx(value, abs=1e-9)
