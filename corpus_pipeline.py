@@ -15,6 +15,8 @@ from tallytide.llm import decontaminate, mixing, neardup, pii, quality
 from tallytide.llm.common import free_name, ready, table
 from tallytide.scale import shared_folder
 
+NEAR_PERCENT = 80  # texts are near-duplicates from this similarity of their shingle sets on
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that the quality classifier rejects go."""
@@ -23,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One text of each group of near-duplicates stays, the one with the smallest id. Rows with a NULL id stay."""
-    verdicts = neardup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    verdicts = neardup.near_duplicates(docs, percent=NEAR_PERCENT).filter("not kept").select("doc_id").distinct()
     return docs.join(verdicts, "doc_id", "left_anti").select(*docs.columns)
 
 

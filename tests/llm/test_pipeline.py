@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,8 @@ from check import compare, sql_connection
 from tallytide.llm import decontaminate, mixing, neardup, pii, quality
 from tallytide.llm import queries as corpus
 
-from .conftest import messy_rows
+from .conftest import DOCS, messy_rows, sentence
+from .test_operators import brute_components, shingles
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="benchmark tables are not here")
@@ -56,3 +58,19 @@ def test_stages_on_messy_rows(spark, messy, no_docs, tmp_path):
             out = stage(spark, docs, FOLDER)
             assert out.columns == docs.columns and out.count() <= rows, name
         corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count()
+
+
+def test_near_dedup_stage_takes_pairs_from_080_on(spark):
+    rng = random.Random(8)
+    texts = [sentence(rng, 120) for _ in range(6)]
+    for words, changed in ((texts[0].split(), (60,)), (texts[1].split(), (30, 90)), (texts[2].split(), (20, 60, 100))):
+        for at in changed:
+            words[at] = "altered"
+        texts.append(" ".join(words))
+    like = [len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) for a, b in zip(texts[:3], texts[6:])]
+    assert like[0] > 0.85 and 0.8 < like[1] < 0.85 and like[2] < 0.8
+    rows = [(i, t, "en", "s1", len(t), *["x"] * 6) for i, t in enumerate(texts)]
+    got = dict(corpus_pipeline.STAGES)["near_dedup"](spark, spark.createDataFrame(rows, DOCS).repartition(3), FOLDER)
+    kept = sorted(r[0] for r in got.select("doc_id").collect())
+    assert kept == sorted(key for key, _, _, stays in brute_components(list(enumerate(texts)), percent=80) if stays)
+    assert kept == [0, 1, 2, 3, 4, 5, 8]
