@@ -50,7 +50,7 @@ def _units(docs: DataFrame, doc_id: str, text: str, min_words: int, paragraphs:
             for i, value in enumerate(batch.column(2).to_pylist()):
                 for a, b in units_of(value or "", paragraphs):
                     plain = _MARKS.sub(" ", value[a:b].lower()).strip()
-                    if plain.count(" ") + 1 >= min_words:
+                    if plain and plain.count(" ") + 1 >= min_words:
                         x, y = struct.unpack("<qq", hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=16).digest())
                         row.append(i), h1.append(x), h2.append(y), start.append(a), end.append(b)
             take = pa.array(row, pa.int64())
@@ -80,7 +80,8 @@ def repeated_lines(
     ``removed`` lists spans (start, end, first_doc) of the original text in code points, end
     exclusive, line end included, with the id of the text that keeps the unit. Texts are ranked
     by id (NULL last), then by a hash of the text; within a text the earlier offset is first.
-    Units of fewer than ``min_words`` words stay. Rows with equal id and text count as one text.
+    Units of fewer than ``min_words`` words stay; words are counted by gaps, so a unit of a script
+    without spaces counts as few. With 1 only units without any word stay. Rows with equal id and text count as one text.
     NULL and empty texts lose nothing. Other columns are not read.
     """
     ready(docs.sparkSession)

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallytide.llm import decontaminate, fingerprint, licences, lines, mixing, neardup, pii, quality, secrets, urls, words
+from tallytide.llm import decontaminate, fingerprint, licences, lines, mixing, neardup, pii, quality, queries, secrets, urls, words
 from tallytide.llm.common import components
 
 from .conftest import messy_rows, sentence
@@ -391,6 +391,15 @@ def test_line_dedup_matches_brute_force(spark, messy, no_docs):
     assert lines.units_of("a b\n \nc\nd", paragraphs=True) == [(0, 6), (6, 9)]
 
 
+def test_line_dedup_query_takes_short_and_unspaced_lines(spark, tmp_path):
+    unspaced = "これは区切りのない長い一行の文章でありどの文書にも同じ形で現れる" * 3
+    docs = [(1, f"Les.\n{unspaced}\n***\nan only line"), (2, f"les\n---\n***\n{unspaced}\n"), (3, "\n***\n LES! \nother"), (4, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: [(s["start"], s["end"], s["first_doc"]) for s in r["removed"]]
+           for r in queries.queries()["op9_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: [], 2: [(0, 4, 1), (12, 12 + len(unspaced) + 1, 1)], 3: [(5, 12, 1)], 4: []}
+
+
 # --- 10 secrets ---------------------------------------------------------------------------
 
 
