@@ -55,7 +55,28 @@ Permission to use, copy, modify, and/or distribute this software for any purpose
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
 ]
 
-_COPYRIGHT = r"(?m)^[^a-z0-9\n]*(copyright|\(c\))[^\n]*$"
+# Words that follow "copyright" in a sentence, not in a copyright line
+SENTENCE = (
+    "notice notices holder holders owner owners ownership license licenses statement statements law laws interest interests "
+    "permission permissions disclaimer disclaimers treaty treaties claim claims protection management infringement act status "
+    "information rights right term terms and or on in to of as for is are that which with under from shall may will can"
+).split()
+
+
+def _other_word(words: set[str], first: bool = True) -> str:
+    """Pattern of a word that is none of ``words``; without look-ahead, which not every engine has."""
+    heads = sorted({w[0] for w in words if w})
+    others = "".join(c for c in "abcdefghijklmnopqrstuvwxyz0123456789" if c not in heads)
+    parts = [h + _other_word({w[1:] for w in words if w[:1] == h}, False) for h in heads] + [f"[{others}][a-z0-9]*"]
+    return "(?:" + "|".join(parts + [""] * (not first and "" not in words)) + ")"
+
+
+# A copyright line: a year, (c), a placeholder or a name after "copyright"; a year, a placeholder or a few words after "(c)"
+_COPYRIGHT = (
+    r"(?m)^[^a-z0-9\n]*(?:copyright[^a-z0-9\n]*(?:[0-9]|\(c\)|[<\[{])[^\n]*|copyright[ \t:]+(?:[\x{80}-\x{10FFFF}][^\n]*|"
+    + _other_word(set(SENTENCE)) + r"(?:[^a-z0-9\n][^\n]*)?)"
+    r"|\(c\)[^a-z0-9\n]*(?:copyright|[0-9]|[<\[{])[^\n]*|\(c\)(?:[ \t]+[^ \t\n]+){1,4}[ \t]*)$"
+)
 _GAPS = r"[^a-z0-9\n\x{80}-\x{10FFFF}]+"
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -106,6 +107,24 @@ def test_licences_whole_texts_and_lines(spark, messy, no_docs):
     assert licences.scan_licences(docs, known.limit(0)).filter("licence is not null or n_notices > 0").count() == 0
 
 
+def test_licences_wrapped_so_that_lines_begin_with_copyright(spark, tmp_path):
+    whole = [(name, text) for name, text in licences.KNOWN if "\n" in text]
+    docs, want = [], {}
+    for name, text in whole:
+        for width in range(70, 81):
+            want[len(docs)] = name
+            docs.append((len(docs), "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))))
+        for line in ("Copyright (c) 2020 Some One", "Copyright 2020", "(C) 1999 A, B", "Copyright <year> <owner>", "© Some One",
+                     "Copyright Some One", "Copyright: Nora Holderlin", "# Copyright The Authors. All rights reserved.", "Copyright Ören"):
+            want[len(docs)] = name
+            docs.append((len(docs), line + "\n" + text))
+    assert any(line.lower().startswith("copyright notice") for _, text in docs for line in text.split("\n"))
+    assert any(line.startswith("COPYRIGHT HOLDERS") for _, text in docs for line in text.split("\n"))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.queries()["op2_license_scan"](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["licence"] for r in got} == want
+
+
 # --- 3 URLs -------------------------------------------------------------------------------
 
 
