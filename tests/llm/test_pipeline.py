@@ -38,8 +38,8 @@ def test_stages_take_effect(spark):
     assert sorted(r[0] for r in good.select("doc_id").collect()) == sorted(
         r[0] for r in scored.filter("score >= 0.7").select("doc_id").collect())
     single = stages["near_dedup"](spark, good, FOLDER).persist()
-    assert single.count() == neardup.near_duplicates(good).filter("kept").count()
-    assert neardup.near_duplicates(single).filter("not kept").count() == 0
+    assert single.count() == neardup.near_duplicates(good, percent=corpus_pipeline.NEAR_PERCENT).filter("kept").count()
+    assert neardup.near_duplicates(single, percent=corpus_pipeline.NEAR_PERCENT).filter("not kept").count() == 0
     clean = stages["decontamination"](spark, single, FOLDER).persist()
     assert decontaminate.report(decontaminate.decontaminate(clean, items)).filter("contaminated").count() == 0
     private = stages["pii"](spark, clean, FOLDER).persist()
