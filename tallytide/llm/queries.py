@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallytide.llm import (
-    decontaminate, fingerprint, licences, lines, mixing, neardup, pii, quality, secrets, urls,
+    decontaminate, fingerprint, licences, lines, mixing, negatives, neardup, pii, quality, secrets, urls,
 )
 from tallytide.llm.common import table
 from tallytide.llm.registry import QUERIES, SQL, query
@@ -43,6 +43,37 @@ FROM words LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+OP11_SQL = r"""
+WITH e AS (
+  SELECT CAST(vec_id AS BIGINT) AS vec_id,
+         CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+),
+a AS (SELECT * FROM e WHERE vec_id % 50 = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, e.vec_id AS id, e.label,
+         coalesce(list_sum(list_transform(range(1, least(len(a.v), len(e.v)) + 1), lambda i: a.v[i] * e.v[i])), 0) AS score
+  FROM a JOIN e ON e.vec_id <> a.vec_id
+),
+pos AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r FROM s WHERE label = anchor_label)
+  WHERE r <= 5
+),
+neg AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS rank
+  FROM pos p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM neg WHERE rank <= 3
+"""
+
+
 def _mix_sql(rounds: int = 12) -> str:
     """Shares raised until none is above its cap; twelve rounds are more than the sources of the tables need."""
     steps = ["r0 AS (SELECT 1.5 * sum(source_size) / sum(weight) AS rate FROM src)"]
@@ -161,6 +192,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+@query("op11_hard_negatives", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every anchor (vec_id divisible by 50) against all embeddings: 5 positives, 3 negatives each."""
+    return negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
