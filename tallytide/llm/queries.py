@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallytide.llm import (
-    decontaminate, fingerprint, licences, lines, mixing, negatives, neardup, pii, quality, secrets, urls,
+    decontaminate, fingerprint, licences, lines, mixing, negatives, neardup, pii, prefix_trie, quality, secrets, urls,
 )
 from tallytide.llm.common import table
 from tallytide.llm.registry import QUERIES, SQL, query
@@ -74,6 +74,53 @@ FROM neg WHERE rank <= 3
 """
 
 
+# crc32 of the decimal id, bit by bit (reflected polynomial 0xEDB88320), as DuckDB has none
+OP13_SQL = r"""
+WITH t AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id,
+         list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
+              ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+bits AS (
+  SELECT conv_id, ts, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                 lambda ch: [ascii(ch), -1, -1, -1, -1, -1, -1, -1])) AS steps
+  FROM t
+),
+crc AS (
+  SELECT conv_id, ts,
+         xor(list_reduce(list_prepend(4294967295, steps), lambda c, x:
+             xor((CASE WHEN x >= 0 THEN xor(c, x) ELSE c END) >> 1,
+                 CASE WHEN ((CASE WHEN x >= 0 THEN xor(c, x) ELSE c END) & 1) = 1 THEN 3988292384 ELSE 0 END)),
+             4294967295) % 4 AS h
+  FROM bits
+),
+r AS (
+  SELECT o.conv_id, list_concat(coalesce(b.ts[1:o.h], []), o.ts[o.h + 1:]) AS ts
+  FROM crc o LEFT JOIN t b ON b.conv_id = o.conv_id - o.conv_id % 20
+),
+p AS (SELECT conv_id, len(ts) AS n, d, ts[1:d] AS prefix FROM r, range(0, len(ts) + 1) AS g(d)),
+nodes AS (
+  SELECT prefix, max(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CASE WHEN d = n THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256,
+         CASE WHEN max(d) = 0 THEN 0
+              ELSE len(regexp_extract_all(prefix[max(d)].text, '[^\x20\x09-\x0D]+')) END AS words
+  FROM p GROUP BY prefix
+),
+kids AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+withkids AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (prefix)),
+up AS (
+  SELECT u.prefix[1:a] AS prefix, sum((u.n_convs - 1) * u.words) AS saved_tokens,
+         sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves
+  FROM withkids u, range(0, u.depth + 1) AS g(a) GROUP BY 1
+)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, f.n_convs,
+       CAST(f.n_children AS BIGINT) AS n_children, CAST(up.n_leaves AS BIGINT) AS n_leaves,
+       CAST(up.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM withkids f JOIN up USING (prefix) LEFT JOIN nodes q ON f.depth > 0 AND q.prefix = f.prefix[1:f.depth - 1]
+"""
+
+
 def _mix_sql(rounds: int = 12) -> str:
     """Shares raised until none is above its cap; twelve rounds are more than the sources of the tables need."""
     steps = ["r0 AS (SELECT 1.5 * sum(source_size) / sum(weight) AS rate FROM src)"]
@@ -198,6 +245,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
+@query("op13_conversation_trie", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
