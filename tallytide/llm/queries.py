@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallytide.llm import (
-    decontaminate, fingerprint, licences, lines, mixing, negatives, neardup, pii, prefix_trie, quality, secrets, urls,
+    decontaminate, fingerprint, licences, lines, mixing, negatives, neardup, pii, prefix_trie, quality, secrets,
+    suffix_tree, urls,
 )
 from tallytide.llm.common import table
 from tallytide.llm.registry import QUERIES, SQL, query
@@ -245,6 +246,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_lm_scoring")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a suffix-tree model learnt from those not held out (no SQL: tested by brute force)."""
+    return suffix_tree.lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op13_conversation_trie", OP13_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of all rebuilt conversations."""
