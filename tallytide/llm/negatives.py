@@ -56,7 +56,7 @@ BLOCK_DIMS = 8  # dimensions read between two pruning steps
 CHUNK_ROWS = 100_000  # rows of a partition scanned together (int64 matrix of CHUNK_ROWS x dimensions)
 
 _CANDIDATE = T.StructType([
-    T.StructField("anchor_id", T.LongType()), T.StructField("positive_id", T.LongType()),
+    T.StructField("anchor_key", T.LongType()), T.StructField("anchor_id", T.LongType()), T.StructField("positive_id", T.LongType()),
     T.StructField("candidate_id", T.LongType()), T.StructField("score", T.LongType()),
 ])
 
@@ -142,7 +142,8 @@ def _scan(anchors: dict, width: int, positives: int, negatives: int):
         labels = frame["label"].to_numpy(np.int64)
         x = _matrix(frame["v"], width)
         out = []
-        for a_id, a_label, q, pos in zip(anchors["id"], anchors["label"], anchors["q"], anchors["pos"], strict=True):
+        for key, a_id, a_label, q, pos in zip(
+                anchors["key"], anchors["id"], anchors["label"], anchors["q"], anchors["pos"], strict=True):
             if pos is None:  # pass 1: best rows of the same label
                 alive = np.flatnonzero((labels == a_label) & (ids != a_id))
                 if not len(alive):
@@ -156,7 +157,7 @@ def _scan(anchors: dict, width: int, positives: int, negatives: int):
 
                 alive, score = _bond(q, x, alive, keep)
                 take = _first(ids[alive], score, positives)
-                out += [(a_id, None, int(ids[alive[i]]), int(score[i])) for i in take]
+                out += [(key, a_id, None, int(ids[alive[i]]), int(score[i])) for i in take]
             else:  # pass 2: rows of other labels inside some positive's window
                 scores = np.array([s for _, s in pos], dtype=np.int64)
                 lowest, highest = (LOW * scores).min(), (HIGH * scores).max()
@@ -169,10 +170,11 @@ def _scan(anchors: dict, width: int, positives: int, negatives: int):
                     inside = (LOW * p_score <= 100 * score) & (100 * score <= HIGH * p_score)
                     hits = np.flatnonzero(inside)
                     for i in hits[_first(ids[alive[hits]], score[hits], negatives)]:
-                        out.append((a_id, p_id, int(ids[alive[i]]), int(score[i])))
+                        out.append((key, a_id, p_id, int(ids[alive[i]]), int(score[i])))
         if out:
-            return pd.DataFrame(out, columns=["anchor_id", "positive_id", "candidate_id", "score"]).astype(
-                {"anchor_id": "int64", "positive_id": "Int64", "candidate_id": "int64", "score": "int64"})
+            return pd.DataFrame(out, columns=["anchor_key", "anchor_id", "positive_id", "candidate_id", "score"]).astype(
+                {"anchor_key": "int64", "anchor_id": "int64", "positive_id": "Int64", "candidate_id": "int64",
+                 "score": "int64"})
 
     return run
 
@@ -199,25 +201,27 @@ def mine(embeddings: DataFrame, positives: int = POSITIVES, negatives: int = NEG
     found_pos, found_neg = [], []
     for block in _blocks(anchors, width):
         first = ctx.broadcast({
-            "id": [r.vec_id for r in block], "label": [r.label for r in block],
+            "key": list(range(len(block))), "id": [r.vec_id for r in block], "label": [r.label for r in block],
             "q": [_matrix([r.v], width)[0] for r in block], "pos": [None] * len(block)})
         near = rows.mapInPandas(_scan(first.value, width, positives, negatives), _CANDIDATE)
-        by_anchor = Window.partitionBy("anchor_id").orderBy(F.col("score").desc(), "candidate_id")
+        # a repeated row is an anchor of its own: merges go by the anchor's place in the block
+        by_anchor = Window.partitionBy("anchor_key").orderBy(F.col("score").desc(), "candidate_id")
         best = saved(
             near.withColumn("_r", F.row_number().over(by_anchor)).filter(F.col("_r") <= positives)
-            .select("anchor_id", F.col("candidate_id").alias("positive_id"), F.col("score").alias("positive_score")))
+            .select("anchor_key", "anchor_id", F.col("candidate_id").alias("positive_id"),
+                    F.col("score").alias("positive_score")))
         chosen = {}
         for r in best.collect():  # at most `positives` rows for each anchor of the block
-            chosen.setdefault(r.anchor_id, []).append((r.positive_id, r.positive_score))
-        keep = [i for i, r in enumerate(block) if r.vec_id in chosen]
+            chosen.setdefault(r.anchor_key, []).append((r.positive_id, r.positive_score))
+        keep = [i for i in range(len(block)) if i in chosen]
         second = ctx.broadcast({
-            "id": [block[i].vec_id for i in keep], "label": [block[i].label for i in keep],
-            "q": [first.value["q"][i] for i in keep], "pos": [chosen[block[i].vec_id] for i in keep]})
+            "key": keep, "id": [block[i].vec_id for i in keep], "label": [block[i].label for i in keep],
+            "q": [first.value["q"][i] for i in keep], "pos": [chosen[i] for i in keep]})
         far = rows.mapInPandas(_scan(second.value, width, positives, negatives), _CANDIDATE)
-        by_pair = Window.partitionBy("anchor_id", "positive_id").orderBy(F.col("score").desc(), "candidate_id")
+        by_pair = Window.partitionBy("anchor_key", "positive_id").orderBy(F.col("score").desc(), "candidate_id")
         found_neg.append(
             far.withColumn("rank", F.row_number().over(by_pair)).filter(F.col("rank") <= negatives)
-            .select("anchor_id", "positive_id", "rank", F.col("candidate_id").alias("negative_id"),
+            .select("anchor_key", "anchor_id", "positive_id", "rank", F.col("candidate_id").alias("negative_id"),
                     F.col("score").alias("negative_score")))
         found_pos.append(best)
     if not found_neg:
@@ -226,6 +230,8 @@ def mine(embeddings: DataFrame, positives: int = POSITIVES, negatives: int = NEG
     negs, poss = found_neg[0], found_pos[0]
     for n, p in zip(found_neg[1:], found_pos[1:], strict=True):
         negs, poss = negs.unionByName(n), poss.unionByName(p)
-    return negs.join(poss, ["anchor_id", "positive_id"]).select(
+    # a positive may repeat within an anchor (repeated rows): one row of it carries its score
+    poss = poss.dropDuplicates(["anchor_key", "positive_id"])
+    return negs.join(poss, ["anchor_key", "anchor_id", "positive_id"]).select(
         "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score",
         "negative_score")
