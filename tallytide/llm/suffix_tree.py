@@ -37,12 +37,13 @@ formula). More than ``depth`` is never read back: contexts are whole within a te
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallytide.llm.common import LOWER, SPACED_WORDS, UPPER, saved
-from tallytide.scale import dimension_join
+from tallytide.llm.common import LOWER, SPACED_WORDS, UPPER
+from tallytide.scale import dimension_join, shared_folder
 
 DEPTH = 3  # longest context, in tokens
 MIN_COUNT = 3  # least count of a kept context
@@ -52,6 +53,14 @@ FOLD, HELD = 5, 1  # held out: crc32(doc_id as text) % FOLD == HELD
 END = ""  # the end token; no word is empty
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """Written as compressed Parquet to the shared folder and read back: cuts lineage, outlives executors, and
+    keeps token arrays and counts small on disk (a checkpoint writes rows uncompressed)."""
+    path = f"{shared_folder(df.sparkSession)}/tallytide-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def held_out(doc_id) -> F.Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLD)) == HELD, F.lit(True))
 
