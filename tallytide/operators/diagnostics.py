@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,7 @@ from tallytide.series import SeriesSpec
 MIN_TEST_ROWS = 20
 _EXPRESSION_LAGS = 64
 _SLICE = 65_536
+_DEPENDENT = 1e-7  # share of a column that those before it leave, below which a fit needs the pseudo-inverse
 
 # KPSS level critical values with their p-values.
 _KPSS_TABLE = ((0.347, 0.10), (0.463, 0.05), (0.574, 0.025), (0.739, 0.01))
@@ -178,12 +180,25 @@ def suggested_order(partial: DataFrame, key: list[str]) -> DataFrame:
     return partial.groupBy(*key).agg(F.coalesce(last, F.lit(0)).alias("p"))
 
 
-def kpss(df: DataFrame, spec: SeriesSpec, min_rows: int = MIN_TEST_ROWS, layout: Layout | None = None) -> DataFrame:
-    """(key, n, kpss_stat, kpss_p, kpss_lag): level stationarity with the automatic lag of Hobijn et al."""
+def _longest(rows: DataFrame, spec: SeriesSpec) -> int:
+    return rows.groupBy(*spec.key).count().agg(F.max("count")).first()[0] or 0
+
+
+def kpss(
+    df: DataFrame,
+    spec: SeriesSpec,
+    min_rows: int = MIN_TEST_ROWS,
+    layout: Layout | None = None,
+    longest: int | None = None,
+) -> DataFrame:
+    """(key, n, kpss_stat, kpss_p, kpss_lag): level stationarity with the automatic lag of Hobijn et al.
+
+    ``longest``: known values of the longest series, counted if not given.
+    """
     rows = _known(df, spec)
     layout = layout or plan_layout(rows, spec)
     key = [*spec.key]
-    longest = rows.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
+    longest = _longest(rows, spec) if longest is None else longest
     # enough lags for the rule itself and for the lag it usually picks
     first_lags = max(1, int(longest ** (2 / 9) + 1e-9), min(_EXPRESSION_LAGS, int(1.5 * longest ** (1 / 3))))
     found = reliable_checkpoint(autocovariances(rows, spec.of("_y"), first_lags, layout, True))
@@ -271,10 +286,10 @@ def lagged_gram(
         + [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("gram", "head", "tail")]
     )
 
-    def cross_products(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pos")
-        y, own = pdf["_y"].to_numpy(dtype=float), pdf["_own"].to_numpy(dtype=bool)
-        deep = int(pdf["depth"].iloc[0])
+    def cross_products(rows: pa.Table) -> pa.Table:  # a group is small next to the cost of a data frame
+        order = np.argsort(rows["_pos"].to_numpy(), kind="stable")
+        y, own = rows["_y"].to_numpy()[order], rows[OWN].to_numpy()[order]
+        deep = rows["depth"][0].as_py()
         first = deep + difference
         size = 2 + deep + int(level)
         total, used = np.zeros((size, size)), 0
@@ -289,13 +304,12 @@ def lagged_gram(
             z = np.hstack(columns)[own[at:stop]]
             total += z.T @ z
             used += len(z)
-        out = pdf.iloc[[0]][[*key, "n"]].copy()
-        out["depth"], out["used"], out[BLOCK] = deep, used, pdf[BLOCK].iloc[0]
-        out["gram"] = [total.ravel()]
-        out["head"], out["tail"] = [y[: reach + 1]], [y[-(reach + 1) :]]
-        return out
+        head = rows.slice(0, 1)
+        lists = [pa.array([x], pa.list_(pa.float64())) for x in (total.ravel(), y[: reach + 1], y[-(reach + 1) :])]
+        return pa.table([*(head[c] for c in [*key, "n", "depth"]), pa.array([used], pa.int64()), head[BLOCK], *lists],
+                        names=schema.names)
 
-    parts = placed.groupBy(*key, BLOCK).applyInPandas(cross_products, schema)
+    parts = placed.groupBy(*key, BLOCK).applyInArrow(cross_products, schema)
     if not layout.split:
         return parts.drop(BLOCK)
     sizes = parts.groupBy(*key).agg(
@@ -319,6 +333,31 @@ def least_squares(gram: np.ndarray, target: int, regressors: list[int]) -> tuple
     return beta, max(float(residual), 0.0), inverse
 
 
+def nested_residuals(gram: np.ndarray, target: int, regressors: list[int]) -> np.ndarray | None:
+    """Residual sums of squares on the first 0, 1, 2, ... regressors, all from one factorisation.
+
+    None where the columns are too nearly dependent for that; :func:`least_squares` then decides.
+    """
+    columns = [*regressors, target]
+    a = gram[np.ix_(columns, columns)]
+    scale = np.sqrt(np.diag(a))
+    if not (np.isfinite(scale).all() and (scale > 0).all()):
+        return None
+    try:
+        root = np.linalg.cholesky(a / np.outer(scale, scale))
+    except np.linalg.LinAlgError:
+        return None
+    if np.diag(root).min() ** 2 < _DEPENDENT:
+        return None
+    explained = np.concatenate([[0.0], np.cumsum(root[-1, :-1] ** 2)])
+    return (1.0 - explained) * scale[-1] ** 2
+
+
+def near_best(criterion: np.ndarray, used: int) -> np.ndarray:
+    """Whether a criterion of ``used`` rows may be the smallest, given the rounding of ``nested_residuals``."""
+    return criterion <= criterion.min() + 1e-3 + 1e-7 * used
+
+
 def _normal_cdf(x: float) -> float:
     return 0.5 * (1 + math.erf(x / math.sqrt(2)))
 
@@ -337,7 +376,11 @@ def _fit_adf(gram: np.ndarray, used: int, deep: int, head: np.ndarray) -> tuple[
     """Statistic, p-value and lag: the lag by AIC on the common sample, then refitted on all rows it allows."""
     target, base = 2, [0, 1]  # columns: 1, y(t-1), dy(t), dy(t-1), ...
     best_lag, best_aic = 0, math.inf
-    for lag in range(deep + 1):
+    lags = np.arange(deep + 1)
+    nested = nested_residuals(gram, target, base + list(range(3, 3 + deep)))
+    if nested is not None and used > deep + 2:
+        lags = lags[near_best(used * np.log(nested[2:] / used) + 2 * (2 + lags), used)]
+    for lag in lags.tolist():
         columns = base + list(range(3, 3 + lag))
         _, rss, _ = least_squares(gram, target, columns)
         if rss <= 0 or used <= len(columns):
@@ -370,12 +413,16 @@ def adf(
     min_rows: int = MIN_TEST_ROWS,
     max_lag: int | None = None,
     layout: Layout | None = None,
+    longest: int | None = None,
 ) -> DataFrame:
-    """(key, n, adf_stat, adf_p, adf_lag): augmented Dickey-Fuller test with a constant."""
+    """(key, n, adf_stat, adf_p, adf_lag): augmented Dickey-Fuller test with a constant.
+
+    ``longest``: known values of the longest series, counted if not given.
+    """
     rows = _known(df, spec)
     layout = layout or plan_layout(rows, spec)
     key = [*spec.key]
-    longest = rows.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
+    longest = _longest(rows, spec) if longest is None else longest
 
     n = F.col("n").cast("double")
     rule = F.ceil(12 * F.pow(n / 100, F.lit(0.25)))
@@ -418,8 +465,11 @@ def stationarity(
     df: DataFrame, spec: SeriesSpec, min_rows: int = MIN_TEST_ROWS, layout: Layout | None = None
 ) -> DataFrame:
     """Both tests and the verdict per series."""
-    layout = layout or plan_layout(_known(df, spec), spec)
-    both = adf(df, spec, min_rows, layout=layout).join(kpss(df, spec, min_rows, layout).drop("n"), [*spec.key])
+    rows = _known(df, spec)
+    layout = layout or plan_layout(rows, spec)
+    longest = _longest(rows, spec)
+    unit_root = adf(df, spec, min_rows, layout=layout, longest=longest)
+    both = unit_root.join(kpss(df, spec, min_rows, layout, longest).drop("n"), [*spec.key])
     return both.withColumns(
         {
             "adf_reject": F.col("adf_p") < 0.05,

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallytide.operators.diagnostics import _known, lagged_gram, least_squares
+from tallytide.operators.diagnostics import _known, lagged_gram, least_squares, near_best, nested_residuals
 from tallytide.operators.layout import Layout, plan_layout
 from tallytide.series import SeriesSpec
 
@@ -30,6 +30,27 @@ def _long_order(max_p: int, max_q: int) -> int:
     return max(1, max_p + max_q)
 
 
+def _near_best_orders(model: np.ndarray, used: int, max_p: int, max_q: int, constant: list[int]) -> np.ndarray:
+    """Which (p, q) are fitted: those that may have the lowest AIC, all but (0, 0) where columns are nearly dependent.
+
+    The regressions of one q are nested in p, so one factorisation has the residuals of them all.
+    """
+    every = np.ones((max_p + 1, max_q + 1), bool)
+    every[0, 0] = False
+    if used <= len(constant) + max_p + max_q:
+        return every
+    criterion = np.empty((max_p + 1, max_q + 1))
+    for q in range(max_q + 1):
+        first = [*constant, *range(2 + max_p, 2 + max_p + q)]
+        nested = nested_residuals(model, 1, [*first, *range(2, 2 + max_p)])
+        if nested is None:
+            return every
+        size = len(first) + np.arange(max_p + 1)
+        criterion[:, q] = used * (np.log(2 * math.pi * nested[len(first):] / used) + 1) + 2 * (size + 1)
+    criterion[0, 0] = math.inf
+    return near_best(criterion, used) & every
+
+
 def _search(gram: np.ndarray, used: int, max_p: int, max_q: int, difference: int) -> dict | None:
     """The (p, q) with the lowest AIC; (0, 0) is not a candidate."""
     long = _long_order(max_p, max_q)
@@ -47,12 +68,13 @@ def _search(gram: np.ndarray, used: int, max_p: int, max_q: int, difference: int
         column[1 + j] += 1.0
         column[2 + j : 2 + j + long] -= start[1:]
     model = to_model.T @ gram @ to_model
+    constant = [0] if difference == 0 else []
+    tried = _near_best_orders(model, used, max_p, max_q, constant)
     best = None
     for p in range(max_p + 1):
         for q in range(max_q + 1):
-            if p == q == 0:
+            if not tried[p, q]:
                 continue
-            constant = [0] if difference == 0 else []
             columns = constant + list(range(2, 2 + p)) + list(range(2 + max_p, 2 + max_p + q))
             beta, rss, _ = least_squares(model, 1, columns)
             if rss <= 0 or used <= len(columns):
