@@ -481,7 +481,8 @@ def stationarity(
 
 def retest_differences(df: DataFrame, spec: SeriesSpec, results: DataFrame, min_rows: int = 0) -> DataFrame:
     """Test the first differences of the series found non-stationary or trend-stationary."""
-    again = results.filter(F.col("verdict").isin(NON_STATIONARY, TREND_STATIONARY)).select(*spec.key)
+    # one row a series, written out: every pass below joins it, and both tests would be run again for each
+    again = reliable_checkpoint(results.filter(F.col("verdict").isin(NON_STATIONARY, TREND_STATIONARY)).select(*spec.key))
     rows = dimension_join(_known(df, spec), again, spec.key, "left_semi", spread_by=spec.order_by)
 
     def add(frame: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from tallytide import SeriesSpec
 from tallytide.operators import diagnostics as D
 from tallytide.operators import forecast as A
 
@@ -66,3 +69,19 @@ def test_dependent_columns_are_left_to_the_pseudo_inverse():
     gram = y.T @ y
     assert D.nested_residuals(gram, 2, [0, 1])[1:] == pytest.approx(
         [D.least_squares(gram, 2, [0])[1], D.least_squares(gram, 2, [0, 1])[1]])
+
+
+def test_retest_reads_the_verdicts_once(spark):
+    spec = SeriesSpec("k", "t", "y")
+    rng = np.random.default_rng(42)
+    pdf = pd.concat([pd.DataFrame({"k": k, "t": range(80), "y": np.cumsum(rng.normal(size=80))}) for k in "abc"])
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def verdict(_):
+        read.add(1)
+        return D.NON_STATIONARY
+
+    results = spark.createDataFrame([(k,) for k in "abc"], "k string").withColumn("verdict", verdict.asNondeterministic()("k"))
+    assert D.retest_differences(spark.createDataFrame(pdf), spec, results).count() == 3
+    assert read.value == 3
