@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallytide import SeriesSpec
 from tallytide.operators import diagnostics as D
 from tallytide.operators import forecast as A
+from tallytide.operators import models as M
 
 
 def _gram(w, depth, level=None):
@@ -85,3 +86,21 @@ def test_retest_reads_the_verdicts_once(spark):
     results = spark.createDataFrame([(k,) for k in "abc"], "k string").withColumn("verdict", verdict.asNondeterministic()("k"))
     assert D.retest_differences(spark.createDataFrame(pdf), spec, results).count() == 3
     assert read.value == 3
+
+
+def test_a_tree_is_fitted_on_few_partitions(spark, monkeypatch):
+    seen = []
+
+    class Stages:
+        def fit(self, df):
+            seen.append((df.rdd.getNumPartitions(), sorted(map(tuple, df.collect()))))
+
+    monkeypatch.setattr(M, "build_stages", lambda *a: Stages())
+    rows = [("low", 1.0), ("high", 2.0), ("medium", None), ("other", 3.0)] * 25
+    train = spark.createDataFrame(rows, "demand_class string, x double").repartition(40)
+    want = sorted([("low", 1.0), ("high", 2.0)] * 25)
+    M.fit_model(train, ["x"], M.model_configs()["decision_tree"])
+    M.fit_model(train, ["x"], M.model_configs()["random_forest"])
+    monkeypatch.setattr(M, "ROWS_PER_TASK", 20)
+    M.fit_model(train, ["x"], M.model_configs()["decision_tree"])
+    assert seen == [(1, want), (40, want), (3, want)]
