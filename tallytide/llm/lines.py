@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tallytide.llm.common import ready
 
-MIN_WORDS = 5  # shorter lines repeat by chance and stay
+MIN_WORDS = 5  # shorter lines repeat by chance
 _MARKS = re.compile(r"[^\w]+")
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n\s*")
 
@@ -39,47 +39,50 @@ def units_of(text: str, paragraphs: bool = False) -> list[tuple[int, int]]:
 
 
 def _units(docs: DataFrame, doc_id: str, text: str, min_words: int, paragraphs: bool) -> DataFrame:
-    """(id, tie, h1, h2, start, end): every unit with enough words and the digest of its normal form."""
+    """(id, tie, h1, h2, start, end, words): every unit with enough words and the digest of its normal form."""
     work = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
     schema = T.StructType([T.StructField("id", work.schema["id"].dataType),
-                           *[T.StructField(n, T.LongType()) for n in ("tie", "h1", "h2", "start", "end")]])
+                           *[T.StructField(n, T.LongType()) for n in ("tie", "h1", "h2", "start", "end", "words")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, h1, h2, start, end = [], [], [], [], []
+            row, h1, h2, start, end, words = [], [], [], [], [], []
             for i, value in enumerate(batch.column(2).to_pylist()):
                 for a, b in units_of(value or "", paragraphs):
                     plain = _MARKS.sub(" ", value[a:b].lower()).strip()
-                    if plain and plain.count(" ") + 1 >= min_words:
+                    size = plain.count(" ") + 1
+                    if plain and size >= min_words:
                         x, y = struct.unpack("<qq", hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-                        row.append(i), h1.append(x), h2.append(y), start.append(a), end.append(b)
+                        row.append(i), h1.append(x), h2.append(y), start.append(a), end.append(b), words.append(size)
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), *[pa.array(c, pa.int64()) for c in (h1, h2, start, end)]],
-                names=["id", "tie", "h1", "h2", "start", "end"])
+                [batch.column(0).take(take), batch.column(1).take(take), *[pa.array(c, pa.int64()) for c in (h1, h2, start, end, words)]],
+                names=["id", "tie", "h1", "h2", "start", "end", "words"])
 
     return work.mapInArrow(run, schema)
 
 
 def _spans(docs: DataFrame, doc_id: str, text: str, min_words: int, paragraphs: bool) -> DataFrame:
-    """(id, tie, n_removed, chars_removed, removed) of the texts that lose something."""
+    """(id, tie, n_removed, chars_removed, n_long_removed, removed) of the texts that lose something."""
     units = _units(docs, doc_id, text, min_words, paragraphs).distinct()
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "tie", "start")
     kept = units.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(rank).alias("first")).filter("n > 1").drop("n")
     later = units.join(kept, ["h1", "h2"]).filter(~rank.eqNullSafe(F.col("first")))
     return later.groupBy("id", "tie").agg(
         F.count("*").alias("n_removed"), F.sum(F.col("end") - F.col("start")).alias("chars_removed"),
+        F.count_if(F.col("words") >= MIN_WORDS).alias("n_long_removed"),
         F.array_sort(F.collect_list(F.struct("start", "end", F.col("first.id").alias("first_doc")))).alias("removed"))
 
 
 def repeated_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, paragraphs: bool = False
 ) -> DataFrame:
-    """One row per text: its id, ``n_removed``, ``chars_removed`` and ``removed``.
+    """One row per text: its id, ``n_removed``, ``chars_removed``, ``removed`` and ``n_long_removed``.
 
     ``removed`` lists spans (start, end, first_doc) of the original text in code points, end
     exclusive, line end included, with the id of the text that keeps the unit. Texts are ranked
     by id (NULL last), then by a hash of the text; within a text the earlier offset is first.
+    ``n_long_removed`` counts the spans of at least ``MIN_WORDS`` words, which repeat by copying, not by chance.
     Units of fewer than ``min_words`` words stay; words are counted by gaps, so a unit of a script
     without spaces counts as few. With 1 only units without any word stay. Rows with equal id and text count as one text.
     NULL and empty texts lose nothing. Other columns are not read.
@@ -91,7 +94,8 @@ def repeated_lines(
     return out.select(
         F.col("_doc").alias(doc_id), F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("chars_removed", F.lit(0)).alias("chars_removed"),
-        F.coalesce("removed", F.array().cast(per_text.schema["removed"].dataType)).alias("removed"))
+        F.coalesce("removed", F.array().cast(per_text.schema["removed"].dataType)).alias("removed"),
+        F.coalesce("n_long_removed", F.lit(0)).alias("n_long_removed"))
 
 
 def without_repeats(
