@@ -12,6 +12,7 @@ from tallytide.scale import reliable_checkpoint
 from tallytide.session import prepare
 
 BATCH_ROWS = "1000"  # rows of one Arrow batch; texts are long
+EDGE_ROWS = 50_000  # edges a task reads at least, so that a small graph is not read in many tiny tasks
 SPACED_WORDS = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,8 +59,10 @@ def components(edges: DataFrame, a: Sequence[str], b: Sequence[str]) -> DataFram
 
     pair = edges.select(vertex(a).alias("x"), vertex(b).alias("y")).filter("x <> y")
     both = saved(pair.unionByName(pair.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
+    parts = both.count() // EDGE_ROWS + 1  # vertices are no more than these rows
+    both = both.coalesce(parts)
     least = both.groupBy(F.col("x").alias("v")).agg(F.least(F.min("y"), F.first("x")).alias("root"))
-    state = saved(least)
+    state = saved(least).coalesce(parts)
     while True:
         # the smallest root around each vertex
         around = (
@@ -74,7 +77,7 @@ def components(edges: DataFrame, a: Sequence[str], b: Sequence[str]) -> DataFram
         # jump: root of the root
         above = linked.select(F.col("v").alias("next"), F.col("next").alias("top"))
         jumped = saved(linked.join(above, "next", "left").select(
-            "v", F.col("root").alias("was"), F.least("next", "top").alias("root")))
+            "v", F.col("root").alias("was"), F.least("next", "top").alias("root"))).coalesce(parts)
         if jumped.filter("root <> was").isEmpty():
             return jumped.select("v", "root")
         state = jumped.select("v", "root")

@@ -4,9 +4,10 @@ Each text becomes the set of its word 5-grams and a signature of minwise tokens.
 one vertex from here on. The vertices are branched down several independent trees: the position
 of the token to branch on is chosen by the node, one and sometimes two per node, so that a pair
 at the threshold is expected to stay together once per level. Nodes that have become small are
-compared exhaustively by signature; nodes that stay large after the last level hold texts that
-agree in every chosen token, and are kept together. What hangs together that way is a cluster
-of candidates.
+compared exhaustively by signature. A large node of the first level in which nearly all signatures
+are close to that of one member has nothing left to separate: it is kept together and branched no
+further, as are the nodes that stay large after the last level. What hangs together that way is a
+cluster of candidates.
 
 Clusters are then confirmed on full sets. A cluster is cut into blocks of bounded size; the
 first block is compared with all blocks, which connects nearly everything that is connected,
@@ -28,11 +29,12 @@ from pyspark.sql import types as T
 
 from tallytide.llm.common import components, ready, saved
 from tallytide.llm.words import SPACED, U, digest_pair, hash_words, mix, shingle_sets
-from tallytide.scale import BROADCAST_BYTES, bound
+from tallytide.scale import BROADCAST_BYTES, bound, small_or_shuffled
 
 SHINGLE, PERCENT = 5, 85
 TOKENS, TREES, LEVELS = 64, 8, 4
 SMALL_NODE, BLOCK_ROWS, BLOCK_SHINGLES, SLICE = 32, 64, 1 << 20, 1 << 14
+PIVOTS, SETTLED = 4, 95  # percent of the rows of a large node that may have a common neighbour with a pivot
 _KEY = ("k1", "k2")
 _LINK = "a1 long, a2 long, b1 long, b2 long"
 _SEEDS = mix(np.arange(1, TOKENS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
@@ -134,9 +136,14 @@ def _links(pairs: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a1", "a2", "b1", "b2"])
 
 
+def _least(percent: int) -> int:
+    """Tokens that the signatures of a pair at the threshold agree in, at least (4.5 standard deviations below the mean)."""
+    return int((percent / 100 - 4.5 * math.sqrt(percent * (100 - percent)) / 100 / math.sqrt(TOKENS)) * TOKENS)
+
+
 def _alike(nodes: DataFrame, percent: int) -> DataFrame:
     """Links within small nodes between members whose signatures and sizes allow the threshold."""
-    least = int((percent / 100 - 4.5 * math.sqrt(percent * (100 - percent)) / 100 / math.sqrt(TOKENS)) * TOKENS)
+    least = _least(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,12 +162,50 @@ def _alike(nodes: DataFrame, percent: int) -> DataFrame:
     return nodes.mapInArrow(run, _LINK)
 
 
+def _settled(large: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+    """The nodes of which ``SETTLED`` percent of the rows could have a common neighbour with one of four of them.
+
+    Two texts with a common neighbour have a similarity of at least 2 ``percent`` - 100. The four are the ends of the
+    node in the order of its digests, read either way.
+    """
+    least = max(_least(2 * percent - 100), TOKENS // 4)
+    rows = large.join(vertices, [*_KEY]).select("node", *_KEY, "sig")
+    one, turned = F.struct(*_KEY, "sig"), F.struct(*_KEY[::-1], "sig")
+    ends = rows.groupBy("node").agg(F.concat(
+        *[f(order)["sig"] for order in (one, turned) for f in (F.min, F.max)]).alias("pivots"))
+    met = rows.select("node", "sig").join(ends, "node").select("node", "sig", "pivots")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            node, where = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_inverse=True)
+            others = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(len(batch), PIVOTS, TOKENS)
+            agree = (_tokens(batch.column(1))[:, None, :] == others).sum(2) >= least
+            alike = [np.bincount(where, agree[:, i]).astype(np.int64) for i in range(PIVOTS)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node), pa.array(np.bincount(where)), *[pa.array(x) for x in alike]], names=["node", "rows", *names])
+
+    names = [f"a{i}" for i in range(PIVOTS)]
+    counted = met.mapInArrow(run, ", ".join(f"{c} long" for c in ("node", "rows", *names)))
+    totals = counted.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("rows", *names)])
+    return totals.filter(F.greatest(*names) * 100 >= F.col("rows") * SETTLED).select("node")
+
+
+def _stars(large: DataFrame) -> DataFrame:
+    """Every row of a node linked with the smallest one."""
+    first = large.groupBy("node").agg(F.min(F.struct(*_KEY)).alias("first"))
+    return large.join(first, "node").select(
+        F.col("first.k1").alias("a1"), F.col("first.k2").alias("a2"),
+        F.col("k1").alias("b1"), F.col("k2").alias("b2"))
+
+
 def candidate_links(vertices: DataFrame, percent: int = PERCENT, trees: int = TREES, levels: int = LEVELS) -> DataFrame:
     """Links whose components hold every pair at the threshold together, with the recall of the trees.
 
     ``vertices``: k1, k2, n, sig. Returns a1, a2, b1, b2.
     """
-    rows, small, stars = _branch(vertices, percent, trees), None, None
+    rows, small, whole = _branch(vertices, percent, trees), None, None
     for level in range(levels):
         sizes = rows.groupBy("node").count().filter("count > 1")
         rows = saved(rows.join(sizes, "node"))
@@ -169,18 +214,18 @@ def candidate_links(vertices: DataFrame, percent: int = PERCENT, trees: int = TR
         large = rows.filter(F.col("count") > SMALL_NODE).select("node", *_KEY)
         if large.isEmpty():
             break
+        if level == 0 and levels > 1:  # groups are whole here; what gets away from them is smaller further down
+            settled = small_or_shuffled(saved(_settled(large, vertices, percent)))
+            whole, large = large.join(settled, "node", "left_semi"), large.join(settled, "node", "left_anti")
         if level + 1 < levels:
             rows = _branch(large.join(vertices, [*_KEY]), percent, trees)
         else:
-            first = large.groupBy("node").agg(F.min(F.struct(*_KEY)).alias("first"))
-            stars = large.join(first, "node").select(
-                F.col("first.k1").alias("a1"), F.col("first.k2").alias("a2"),
-                F.col("k1").alias("b1"), F.col("k2").alias("b2"))
+            whole = large if whole is None else whole.unionByName(large)
     members = F.collect_list(F.struct(*_KEY, "n", "sig")).alias("members")
     nodes = small.join(vertices, [*_KEY]).groupBy("node").agg(members)
     out = _alike(nodes.select("members"), percent)
-    if stars is not None:
-        out = out.unionByName(stars)
+    if whole is not None:
+        out = out.unionByName(_stars(whole))
     return out.filter("a1 <> b1 or a2 <> b2").distinct()
 
 
