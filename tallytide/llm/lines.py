@@ -12,15 +12,21 @@ import re
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallytide.llm.common import ready
+from tallytide.llm.words import ALNUM, U, mix, place_words, text_bytes
 
 MIN_WORDS = 5  # shorter lines repeat by chance
+WINDOW, WINDOWS = 26, 25  # words of a window; windows of which one is a unit: fewer than words, so that units overlap
+PASSAGE_WORDS = 20  # a repeated line of so many words is a copy
+WORD_CHARS = 8  # characters that count as a word where a line has fewer gaps (scripts without spaces)
+_FACTORS = mix(np.arange(1, WINDOW + 1, dtype=U)) | U(1)
 _MARKS = re.compile(r"[^\w]+")
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n\s*")
 
@@ -71,7 +77,128 @@ def _spans(docs: DataFrame, doc_id: str, text: str, min_words: int, paragraphs:
     return later.groupBy("id", "tie").agg(
         F.count("*").alias("n_removed"), F.sum(F.col("end") - F.col("start")).alias("chars_removed"),
         F.count_if(F.col("words") >= MIN_WORDS).alias("n_long_removed"),
-        F.array_sort(F.collect_list(F.struct("start", "end", F.col("first.id").alias("first_doc")))).alias("removed"))
+        F.array_sort(F.collect_list(F.struct("start", "end", F.col("first.id").alias("first_doc"), "words"))).alias("removed"))
+
+
+def chosen_windows(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, hashes) of the windows that winnowing chooses in each row of hashed words.
+
+    The choice in a stretch of ``WINDOW + WINDOWS - 1`` words depends on its words alone. Of chosen neighbours with
+    equal hashes, as in a text that repeats a few words over and over, the first is given.
+    """
+    n = len(hashes) - WINDOW + 1
+    if n < WINDOWS:
+        return np.empty(0, np.int64), np.empty(0, U)
+    grams = np.zeros(n, U)
+    for k in range(WINDOW):
+        grams += hashes[k : k + n] * _FACTORS[k]
+    grams = mix(grams)
+    starts = np.arange(n - WINDOWS + 1)
+    ends = np.repeat(offsets[1:], np.diff(offsets))[: len(starts)]  # of the row that holds the first word
+    starts = starts[starts + WINDOW + WINDOWS - 1 <= ends]
+    least = np.lib.stride_tricks.sliding_window_view(grams, WINDOWS).argmin(axis=1)
+    chosen = np.unique(starts + least[starts])
+    row = np.searchsorted(offsets, chosen, side="right")
+    new = np.ones(len(chosen), bool)
+    new[1:] = (grams[chosen[1:]] != grams[chosen[:-1]]) | (row[1:] != row[:-1])
+    return chosen[new], grams[chosen[new]]
+
+
+def _windows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, tie, h, start, end): the chosen windows of every text, in code points."""
+    work = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
+    schema = T.StructType([T.StructField("id", work.schema["id"].dataType),
+                           *[T.StructField(n, T.LongType()) for n in ("tie", "h", "start", "end")]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, offsets, first, last = place_words(batch.column(2), ALNUM)
+            at, h = chosen_windows(hashes, offsets)
+            data, edges = text_bytes(batch.column(2))
+            points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
+            row = np.searchsorted(offsets, at, side="right") - 1
+            before = points[edges[row]]
+            take = pa.array(row, pa.int64())
+            numbers = (h.view(np.int64), points[first[at]] - before, points[last[at + WINDOW - 1] + 1] - before)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), batch.column(1).take(take), *[pa.array(c, pa.int64()) for c in numbers]],
+                names=["id", "tie", "h", "start", "end"])
+
+    return work.mapInArrow(run, schema)
+
+
+def _copied(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, tie, copied): the chosen windows of a text that an earlier text has, as (start, end, first_doc)."""
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "tie")
+    met = _windows(docs, doc_id, text).withColumn("first", F.min(rank).over(Window.partitionBy("h")))
+    later = met.filter(~rank.eqNullSafe(F.col("first")))
+    return later.groupBy("id", "tie").agg(
+        F.array_sort(F.collect_set(F.struct("start", "end", F.col("first.id").alias("first_doc")))).alias("copied"))
+
+
+def joined_spans(removed: list | None, copied: list | None) -> list[tuple]:
+    """Repeated lines and copied windows as disjoint spans (start, end, first_doc, passage) in their order.
+
+    Windows that overlap become one passage, of which the parts outside repeated lines are spans of their own. A
+    repeated line is part of a passage if it has ``PASSAGE_WORDS`` words or overlaps one.
+    """
+    runs: list[list] = []
+    for start, end, first_doc in copied or []:
+        if runs and start <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], end)
+        else:
+            runs.append([start, end, first_doc])
+    out, k = [], 0
+    for start, end, first_doc, words in removed or []:
+        while k < len(runs) and runs[k][1] <= start:
+            out.append((*runs[k], True))
+            k += 1
+        meets = k < len(runs) and runs[k][0] < end
+        if meets and runs[k][0] < start:
+            out.append((runs[k][0], start, runs[k][2], True))
+        out.append((start, end, first_doc, meets or max(words, (end - start) // WORD_CHARS) >= PASSAGE_WORDS))
+        while k < len(runs) and runs[k][1] <= end:
+            k += 1
+        if k < len(runs) and runs[k][0] < end:
+            runs[k][0] = end
+    return out + [(*run, True) for run in runs[k:]]
+
+
+def _passages(docs: DataFrame, doc_id: str, text: str, min_words: int, paragraphs: bool) -> DataFrame:
+    """(id, tie, n_long_removed, removed) of the texts with repeats; ``removed`` as ``joined_spans`` gives it."""
+    units = _spans(docs, doc_id, text, min_words, paragraphs).select("id", "tie", "n_long_removed", "removed")
+    copied = _copied(docs, doc_id, text).withColumnsRenamed({"id": "id2", "tie": "tie2"})
+    met = units.join(copied, F.col("id").eqNullSafe(F.col("id2")) & (F.col("tie") == F.col("tie2")), "full")
+    joined = F.udf(joined_spans, T.ArrayType(T.StructType([
+        T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+        T.StructField("first_doc", units.schema["id"].dataType), T.StructField("passage", T.BooleanType())])))
+    return met.select(
+        F.when(F.col("tie2").isNull(), F.col("id")).otherwise(F.col("id2")).alias("id"),
+        F.coalesce("tie", "tie2").alias("tie"), "n_long_removed", joined("removed", "copied").alias("removed"))
+
+
+def repeated_passages(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 1, paragraphs: bool = False
+) -> DataFrame:
+    """One row per text: its id, ``n_removed``, ``chars_removed``, ``removed``, ``n_long_removed`` and ``n_short``.
+
+    ``removed`` lists all repeats in the order of the text, as spans (start, end, first_doc, passage): the units of
+    ``repeated_lines`` and, outside of them, the words of windows that an earlier text has. ``passage`` tells copied
+    passages from units that repeat by chance (``joined_spans``); ``n_removed`` and ``chars_removed`` count passages,
+    ``n_short`` the other spans. Every run of 50 words (``ALNUM`` words, A-Z lowered) that an earlier text shares is met;
+    up to ``WINDOWS - 1`` words at each of its ends may lie outside the span. ``n_long_removed`` is that of ``repeated_lines``.
+    """
+    ready(docs.sparkSession)
+    per_text = _passages(docs, doc_id, text, min_words, paragraphs)
+    base = docs.select(F.col(doc_id).alias("_doc"), F.xxhash64(text).alias("_tie"))
+    out = base.join(per_text, F.col("_doc").eqNullSafe(F.col("id")) & (F.col("_tie") == F.col("tie")), "left").withColumn(
+        "removed", F.coalesce("removed", F.array().cast(per_text.schema["removed"].dataType)))
+    cut = F.filter("removed", lambda s: s["passage"])
+    return out.select(
+        F.col("_doc").alias(doc_id), F.size(cut).cast("long").alias("n_removed"),
+        F.aggregate(cut, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("chars_removed"),
+        "removed", F.coalesce("n_long_removed", F.lit(0)).alias("n_long_removed"),
+        (F.size("removed") - F.size(cut)).cast("long").alias("n_short"))
 
 
 def repeated_lines(
@@ -88,7 +215,7 @@ def repeated_lines(
     NULL and empty texts lose nothing. Other columns are not read.
     """
     ready(docs.sparkSession)
-    per_text = _spans(docs, doc_id, text, min_words, paragraphs)
+    per_text = _spans(docs, doc_id, text, min_words, paragraphs).withColumn("removed", F.transform("removed", lambda s: s.dropFields("words")))
     base = docs.select(F.col(doc_id).alias("_doc"), F.xxhash64(text).alias("_tie"))
     out = base.join(per_text, F.col("_doc").eqNullSafe(F.col("id")) & (F.col("_tie") == F.col("tie")), "left")
     return out.select(
@@ -99,11 +226,20 @@ def repeated_lines(
 
 
 def without_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, paragraphs: bool = False
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, paragraphs: bool = False,
+    passages: bool = False,
 ) -> DataFrame:
-    """The rows of ``docs`` with the repeated units cut out of their texts; the other columns as they are."""
+    """The rows of ``docs`` with the repeated units cut out of their texts; the other columns as they are.
+
+    With ``passages`` the passages of ``repeated_passages`` are cut instead.
+    """
     ready(docs.sparkSession)
-    per_text = _spans(docs, doc_id, text, min_words, paragraphs).select(
+    if passages:
+        per_text = _passages(docs, doc_id, text, min_words, paragraphs).withColumn(
+            "removed", F.filter("removed", lambda s: s["passage"]))
+    else:
+        per_text = _spans(docs, doc_id, text, min_words, paragraphs)
+    per_text = per_text.select(
         F.col("id").alias("_id"), F.col("tie").alias("_key"), F.col("removed").alias("_removed"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     met = rows.join(per_text, F.col(f"_row.{doc_id}").eqNullSafe(F.col("_id")) & (

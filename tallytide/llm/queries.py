@@ -232,7 +232,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_line_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.repeated_lines(table(spark, sf_dir, "documents"), min_words=1)
+    return lines.repeated_passages(table(spark, sf_dir, "documents"), min_words=1)
 
 
 @query("op10_secret_scan")

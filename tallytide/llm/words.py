@@ -95,8 +95,14 @@ def _segments(data: np.ndarray, first: int, last: int, table: np.ndarray) -> Ite
 
 def hash_words(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes, offsets): the words of row i are ``hashes[offsets[i]:offsets[i + 1]]``."""
+    hashes, offsets, _, _ = place_words(column, table)
+    return hashes, offsets
+
+
+def place_words(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, offsets, first bytes, last bytes): as ``hash_words``, with places in the bytes of ``text_bytes``."""
     data, offsets = text_bytes(column)
-    hashes, starts = [], []
+    hashes, starts, ends = [], [], []
     for a, b in _segments(data, int(offsets[0]), int(offsets[-1]), table):
         values = table[data[a:b]]
         inside = values != 0
@@ -119,10 +125,11 @@ def hash_words(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndar
         raw = (values[end] - before) * down[begin]
         hashes.append(mix(raw + (end - begin + 1).astype(U) * U(0xD6E8FEB86659FD93)))
         starts.append(begin + a)
+        ends.append(end + a)
     if not hashes:
-        return np.empty(0, U), np.zeros(len(offsets), np.int64)
+        return np.empty(0, U), np.zeros(len(offsets), np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     where = np.concatenate(starts)
-    return np.concatenate(hashes), np.searchsorted(where, offsets).astype(np.int64)
+    return np.concatenate(hashes), np.searchsorted(where, offsets).astype(np.int64), where, np.concatenate(ends)
 
 
 def shingle_sets(hashes: np.ndarray, offsets: np.ndarray, size: int = 5) -> list[np.ndarray]:
