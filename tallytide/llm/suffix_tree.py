@@ -24,8 +24,12 @@ difference if ``w`` followed ``s_j`` in training and ``log(u / (c(s_j) + u))``
 if not. So every (position, kept suffix) row adds one number and a text's score is
 one grouped sum, with no per-position grouping.
 
-Tokens are keyed by 64-bit hashes (``xxhash64``), contexts by the hash of their
-tokens' hashes; at 10^9 distinct
+All suffixes of a context end in the same token, the one before the position. So contexts fall into shards by
+that token which need nothing of each other: counts, tests, smoothing and scores of a shard are one round, of
+which only the sums per text stay, and a round's tables and shuffles make room for the next. ``ROUNDS`` bounds their
+number, as each reads all tokens; a round holds its share of the input, whatever its size.
+
+Tokens are keyed by 64-bit hashes (``words.hash_words``), contexts by a chain of their tokens' hashes; at 10^9 distinct
 contexts a collision is expected about once in 40 runs, and it merges two contexts.
 
 Defined results: a NULL text has no words (one token, the end); a NULL
@@ -36,29 +40,36 @@ formula). More than ``depth`` is never read back: contexts are whole within a te
 
 from __future__ import annotations
 
-import math
 import uuid
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallytide.llm.common import LOWER, SPACED_WORDS, UPPER
-from tallytide.scale import dimension_join, shared_folder
+from tallytide.llm.common import ready
+from tallytide.llm.words import SPACED, U, hash_words, mix
+from tallytide.scale import shared_folder, small_or_shuffled
 
 DEPTH = 3  # longest context, in tokens
 MIN_COUNT = 3  # least count of a kept context
 DIVERGENCE = 2.0  # least count-weighted divergence (nats) of a kept context from its parent
 BETA = 1.0  # weight of the parent distribution in smoothing, per distinct follower
 FOLD, HELD = 5, 1  # held out: crc32(doc_id as text) % FOLD == HELD
-END = ""  # the end token; no word is empty
+END = U(0x5851F42D4C957F2D)  # stands for the end token
+ROUNDS, ROUND_TOKENS = 16, 1_000_000  # rounds at most; tokens worth a round of their own
+_CHAIN = U(0xC2B2AE3D27D4EB4F)
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # shuffle files go when their query has ended
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, path: str | None = None) -> DataFrame:
     """Written as compressed Parquet to the shared folder and read back: cuts lineage, outlives executors, and
-    keeps token arrays and counts small on disk (a checkpoint writes rows uncompressed)."""
-    path = f"{shared_folder(df.sparkSession)}/tallytide-tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    keeps token arrays and counts small on disk (a checkpoint writes rows uncompressed). A given path is overwritten."""
+    path = path or f"{shared_folder(df.sparkSession)}/tallytide-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").option("compression", "zstd").option("parquet.dictionary.page.size", 8 << 20).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def held_out(doc_id) -> F.Column:
@@ -66,101 +77,154 @@ def held_out(doc_id) -> F.Column:
 
 
 def tokens(docs: DataFrame) -> DataFrame:
-    """``_row``, ``doc_id``, ``held_out``, ``tokens`` (words and the end token); saved, so row numbers are stable."""
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
-    words = F.regexp_extract_all(text, F.lit(SPACED_WORDS), F.lit(0))
-    return saved(docs.select(
+    """``_row``, ``doc_id``, ``held_out``, ``tokens`` (hashes of the words and the end token); saved, so row numbers are stable."""
+    ready(docs.sparkSession)
+    work = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
-        F.concat(words, F.array(F.lit(END))).alias("tokens")))
+        F.col("text").cast("string").alias("text"))
+    schema = T.StructType([*work.schema.fields[:3], T.StructField("tokens", T.ArrayType(T.LongType()))])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, offsets = hash_words(batch.column(3), SPACED)
+            values = np.insert(hashes, offsets[1:], END).view(np.int64)
+            ends = pa.array(offsets + np.arange(len(offsets)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.ListArray.from_arrays(ends, pa.array(values))],
+                names=["_row", "doc_id", "held_out", "tokens"])
 
-def events(toks: DataFrame, depth: int) -> DataFrame:
-    """One row per (position, context length j): ``_row``, ``j``, ``ctx`` and ``parent`` (hashes), ``w`` (hash).
+    return saved(work.mapInArrow(run, schema))
 
-    Words are hashed once; a context is the hash of the hashes of its words, read
-    from copies of the word array shifted by 1..depth, so no row carries the text.
-    """
-    hs = F.transform("tokens", lambda w: F.xxhash64(w))
-    n = F.size("tokens")
-    shifted = [F.concat(F.array_repeat(F.lit(None).cast("long"), F.least(F.lit(k), n)),
-                        F.slice(hs, 1, F.greatest(n - k, F.lit(0)))).alias(f"p{k}") for k in range(1, depth + 1)]
-    at = toks.select("_row", F.explode(F.arrays_zip(hs.alias("w"), *shifted)).alias("p"))
-    root = F.xxhash64(F.lit(END))
-    ctx = [root]
-    for k in range(1, depth + 1):
-        words = [F.col(f"p.p{i}") for i in range(k, 0, -1)]  # oldest first
-        ctx.append(F.when(F.col(f"p.p{k}").isNotNull(), F.xxhash64(*words)))
-    levels = F.array(*[
-        F.struct(F.lit(k).alias("j"), c.alias("ctx"), (ctx[k - 1] if k else F.lit(None).cast("long")).alias("parent"))
-        for k, c in enumerate(ctx)])
-    return at.select("_row", F.col("p.w").alias("w"), F.explode(levels).alias("e")).filter(
-        F.col("e.ctx").isNotNull()).select("_row", "e.j", "e.ctx", "e.parent", "w")
 
+def events(toks: DataFrame, levels: Sequence[int], shard: int = 0, shards: int = 1) -> DataFrame:
+    """One row per (position, context length j of ``levels``): ``_row``, ``j``, ``ctx`` and ``parent`` (hashes), ``w`` (hash).
 
-def train(toks: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT, divergence: float = DIVERGENCE,
-          beta: float = BETA) -> dict:
-    """The model: ``keep`` (ctx, b: backoff log10), ``diff`` (ctx, w, d: log10 difference), N, V and the root.
+    Only positions of the shard: those whose previous token falls into it, for j = 0 those whose own token does.
+    """
+    schema = T.StructType([T.StructField("_row", T.LongType()), T.StructField("j", T.IntegerType()),
+                           *[T.StructField(n, T.LongType()) for n in ("ctx", "parent", "w")]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            edges = lists.offsets.to_numpy()
+            flat = lists.values.to_numpy()[edges[0] : edges[-1]].view(U)
+            sizes = np.diff(edges)
+            row = np.repeat(batch.column(0).to_numpy(), sizes)
+            place = np.arange(len(flat)) - np.repeat(edges[:-1] - edges[0], sizes)
+            for first in (True, False):  # the root, then the deeper levels, which share their positions
+                at = np.arange(len(flat)) if first else np.flatnonzero(place > 0)
+                at = at[flat[at if first else at - 1].view(np.int64) % shards == shard]
+                ctx = np.full(len(at), END)
+                for j in (0,) if first else range(1, max(levels) + 1):
+                    parent = ctx
+                    if j:
+                        enough = place[at] >= j
+                        at, parent = at[enough], ctx[enough]
+                        ctx = mix(parent * _CHAIN + flat[at - j])
+                    if j in levels and len(at):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(row[at]), pa.array(np.full(len(at), j, np.int32)),
+                             *[pa.array(c.view(np.int64)) for c in (ctx, parent, flat[at])]],
+                            names=["_row", "j", "ctx", "parent", "w"])
+
+    return toks.select("_row", "tokens").mapInArrow(run, schema)
+
+
+def train_root(toks: DataFrame) -> dict:
+    """The empty context: ``counts`` (w, c) of the training tokens, their number ``n`` and that of distinct ones ``v``."""
+    counts = saved(events(toks.filter(~F.col("held_out")), [0]).groupBy("w").agg(F.count(F.lit(1)).alias("c")))
+    found = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    n, v = int(found["n"] or 0), int(found["v"] or 0)
+    return {"counts": counts, "n": n, "v": v, "denominator": n + 0.5 * (v + 1)}
+
+
+def train(toks: DataFrame, root: dict, depth: int = DEPTH, min_count: int = MIN_COUNT, divergence: float = DIVERGENCE,
+          beta: float = BETA, shard: int = 0, shards: int = 1, folder: str | None = None) -> dict:
+    """The contexts of a shard: ``keep`` (ctx, b: backoff log10) and ``diff`` (ctx, w, d: log10 difference).
 
     One aggregate counts all (context, token) pairs; each level then takes one join
     with the kept level below (which brings its counts and smoothed log-probabilities)
-    and one window over the context for the divergence and the followers.
+    and one window over the context for the divergence and the followers. Tables in ``folder`` replace those of the
+    shard before.
     """
-    learn = toks.filter(~F.col("held_out"))
+    at = (lambda name: f"{folder}/{name}") if folder else (lambda name: None)
     by_ctx = Window.partitionBy("ctx")
     counts = saved(
-        events(learn, depth).groupBy("j", "ctx", "parent", "w").agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("cs", F.sum("c").over(by_ctx)))
-    at_root = counts.filter("j = 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n, v = int(at_root["n"] or 0), int(at_root["v"] or 0)
-    denominator = n + 0.5 * (v + 1)
-    b_root = math.log10(0.5 / denominator)
+        events(toks.filter(~F.col("held_out")), range(1, depth + 1), shard, shards)
+        .groupBy("j", "ctx", "parent", "w").agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("cs", F.sum("c").over(by_ctx)).filter(F.col("cs") >= min_count), at("counts"))
     # kept contexts of the level below: counts and log10 P(w | s), for the next level to test and smooth toward
-    level = counts.filter("j = 0").select("ctx", "w", "c", "cs", F.log10((F.col("c") + 0.5) / F.lit(denominator)).alias("t"))
-    keep = [learn.sparkSession.range(1).select(F.xxhash64(F.lit(END)).alias("ctx"), F.lit(b_root).alias("b"))]
-    diff = [level.select("ctx", "w", F.col("t").alias("d"))]
+    below, kept = root["counts"].filter("c > 1").select("w", F.col("c").alias("c_p")), []
     for k in range(1, depth + 1):
-        below = level.select(F.col("ctx").alias("parent"), "w", F.col("c").alias("c_p"), F.col("cs").alias("cs_p"),
-                             F.col("t").alias("t_p"))
-        grams = counts.filter((F.col("j") == k) & (F.col("cs") >= min_count)).join(below, ["parent", "w"])
+        grams = counts.filter(F.col("j") == k).drop("j")
+        if k == 1:  # a token seen once is not looked up
+            grams = grams.join(below, "w", "left").withColumn("c_p", F.coalesce("c_p", F.lit(1))).withColumns({
+                "cs_p": F.lit(root["n"]), "t_p": F.log10((F.col("c_p") + 0.5) / F.lit(root["denominator"]))})
+        else:
+            grams = grams.join(below, ["parent", "w"])
         gain = F.col("c") * F.log((F.col("c") * F.col("cs_p")) / (F.col("cs") * F.col("c_p")))
         tested = grams.select("*", F.sum(gain).over(by_ctx).alias("g"),
                               (F.lit(beta) * F.count(F.lit(1)).over(by_ctx)).alias("u"))
-        kept = saved(tested.filter(F.col("g") >= divergence).select(
+        level = saved(tested.filter(F.col("g") >= divergence).select(
             "ctx", "w", "c", "cs", "u", "t_p",
             F.log10((F.col("c") + F.col("u") * F.pow(F.lit(10.0), F.col("t_p"))) / (F.col("cs") + F.col("u")))
-            .alias("t")))
-        keep.append(kept.groupBy("ctx").agg(F.first("cs").alias("cs"), F.first("u").alias("u")).select(
-            "ctx", F.log10(F.col("u") / (F.col("cs") + F.col("u"))).alias("b")))
-        diff.append(kept.select("ctx", "w", (F.col("t") - F.col("t_p")).alias("d")))
-        level = kept
-    union = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(union(parts[1:]))
-    return {"keep": saved(union(keep)), "diff": saved(union(diff)), "n": n, "v": v, "b_root": b_root,
-            "depth": depth}
-
-
-def score(toks: DataFrame, model: dict) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``toks``."""
-    rows = events(toks, model["depth"]).select("_row", "j", "ctx", "w")
-    root = rows.filter("j = 0")
-    deeper = rows.filter("j > 0")
-    keep, diff = model["keep"], model["diff"]
-    root_diff = diff.filter(F.col("ctx") == F.xxhash64(F.lit(END))).select("w", "d")
-    at_root = dimension_join(root, root_diff, ["w"], spread_by=["_row"]).select(
-        "_row", F.coalesce("d", F.lit(model["b_root"])).alias("x"), F.col("d").isNotNull().cast("long").alias("known"),
-        F.lit(1).alias("tok"))
-    kept = dimension_join(deeper, keep, ["ctx"], how="inner", spread_by=["_row", "w"])
-    above = dimension_join(kept, diff, ["ctx", "w"], spread_by=["_row"]).select(
-        "_row", F.coalesce("d", "b").alias("x"), F.lit(0).cast("long").alias("known"), F.lit(0).alias("tok"))
-    base = at_root.withColumn("base", F.col("x"))
-    per_row = base.unionByName(above.withColumn("base", F.lit(0.0))).groupBy("_row").agg(
-        F.sum("tok").cast("long").alias("n_tokens"), F.sum("known").cast("long").alias("n_known"),
-        F.sum("base").alias("base_score"), F.sum("x").alias("score"))
-    return toks.select("_row", "doc_id", "held_out").join(per_row, "_row").select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model["n"]).cast("long").alias("train_tokens"),
+            .alias("t")), at(f"level{k}"))
+        kept.append(level)
+        below = level.select(F.col("ctx").alias("parent"), "w", F.col("c").alias("c_p"), F.col("cs").alias("cs_p"),
+                             F.col("t").alias("t_p"))
+    pairs = kept[0]
+    for level in kept[1:]:
+        pairs = pairs.unionByName(level)
+    keep = pairs.groupBy("ctx").agg(F.first("cs").alias("cs"), F.first("u").alias("u")).select(
+        "ctx", F.log10(F.col("u") / (F.col("cs") + F.col("u"))).alias("b"))
+    return {"keep": keep, "diff": pairs.select("ctx", "w", (F.col("t") - F.col("t_p")).alias("d")), "depth": depth,
+            "shard": shard, "shards": shards}
+
+
+def score_root(toks: DataFrame, root: dict, shard: int = 0, shards: int = 1) -> DataFrame:
+    """Per text: ``n_known``, ``base``, ``x`` (log10) of its tokens of the shard under the root."""
+    counts = root["counts"].filter(F.pmod(F.col("w"), F.lit(shards)) == shard)
+    words = events(toks, [0], shard, shards).groupBy("_row", "w").agg(F.count(F.lit(1)).alias("m"))
+    met = words.join(small_or_shuffled(counts), "w", "left")
+    x = F.col("m") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(root["denominator"]))
+    return met.groupBy("_row").agg(
+        F.sum(F.when(F.col("c").isNotNull(), F.col("m")).otherwise(0)).alias("n_known"), F.sum(x).alias("base"),
+        F.sum(x).alias("x"))
+
+
+def score_shard(toks: DataFrame, model: dict) -> DataFrame:
+    """Per text: ``n_known``, ``base`` (0 here) and ``x``, what the kept contexts of the shard add to its log10 probability."""
+    rows = events(toks, range(1, model["depth"] + 1), model["shard"], model["shards"]).select("_row", "ctx", "w")
+    met = rows.join(small_or_shuffled(model["keep"]), "ctx").join(small_or_shuffled(model["diff"]), ["ctx", "w"], "left")
+    return met.groupBy("_row").agg(
+        F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base"), F.sum(F.coalesce("d", "b")).alias("x"))
+
+
+def lm_scores(docs: DataFrame, depth: int = DEPTH, rounds: int | None = None, **params) -> DataFrame:
+    """Train on the documents not held out and score all of them: doc_id, held_out, n_tokens, n_known, train_tokens,
+    base_score, score. ``rounds``: the number of shards; by default it follows the tokens, up to ``ROUNDS``."""
+    spark = docs.sparkSession
+    folder = f"{shared_folder(spark)}/tallytide-tables/{uuid.uuid4().hex}"
+    before = spark.conf.get(_RELEASE, "false")
+    spark.conf.set(_RELEASE, "true")
+    try:
+        toks = tokens(docs)
+        root = train_root(toks)
+        rounds = rounds or min(ROUNDS, 1 + root["n"] // ROUND_TOKENS)
+        wide = max(1, rounds // 4)
+        parts = [saved(score_root(toks, root, r, wide)) for r in range(wide)]
+        for r in range(rounds if depth else 0):
+            model = train(toks, root, depth, shard=r, shards=rounds, folder=folder, **params)
+            parts.append(saved(score_shard(toks, model)))
+    finally:
+        spark.conf.set(_RELEASE, before)
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    per_row = every.groupBy("_row").agg(
+        F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("x").alias("score"))
+    return toks.select("_row", "doc_id", "held_out", F.size("tokens").cast("long").alias("n_tokens")).join(
+        per_row, "_row").select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(root["n"]).cast("long").alias("train_tokens"),
         "base_score", "score")
-
-
-def lm_scores(docs: DataFrame, **params) -> DataFrame:
-    """Train on the documents not held out and score all of them."""
-    toks = tokens(docs)
-    return score(toks, train(toks, **params))
