@@ -60,8 +60,8 @@ DIVERGENCE = 2.0  # least count-weighted divergence (nats) of a kept context fro
 BETA = 1.0  # weight of the parent distribution in smoothing, per distinct follower
 FOLD, HELD = 5, 1  # held out: crc32(doc_id as text) % FOLD == HELD
 END = U(0x5851F42D4C957F2D)  # stands for the end token
-ROUNDS, ROUND_TOKENS = 8, 6_000_000  # rounds at most; training tokens worth a round of their own
-PART_POSITIONS, WORD_TEXTS, BATCH = 1_200_000, 2_000, "4000"  # positions dealt to a part; texts worth a part of the words; rows of an Arrow batch
+ROUNDS, ROUND_TOKENS = 6, 7_000_000  # rounds at most; training tokens worth a round of their own
+PART_POSITIONS, BATCH = 1_200_000, "8"  # positions dealt to a part; rows of an Arrow batch, most of them packed
 HOT_SHARE, HOT_LEAST, HOT_MOST = 100, 10_000, 1_000_000  # a context is hot above this share of the tokens, within bounds
 _CHAIN = U(0xC2B2AE3D27D4EB4F)
 with np.errstate(over="ignore"):
@@ -82,35 +82,57 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLD)) == HELD, F.lit(True))
 
 
+def _packed(values: np.ndarray, edges: Sequence[int]) -> pa.Array:
+    """A binary value for each part of the values between two edges."""
+    offsets = (np.asarray(edges, np.int64) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The values of all rows, end to end."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(column):
+        return np.empty(0, kind)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    if offsets[0] == offsets[-1]:
+        return np.empty(0, kind)
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].copy().view(kind)
+
+
+def _listed(column: pa.Array, i: int) -> np.ndarray:
+    return column[i].values.to_numpy(zero_copy_only=False)
+
+
 def tokens(docs: DataFrame) -> DataFrame:
-    """``_row``, ``doc_id``, ``held_out``, ``tokens`` (hashes of the words and the end token), ``_block`` (texts hashed
-    at once); saved, so row numbers are stable."""
+    """One row per block of texts (those hashed at once): ``_block`` and lists ``_row``, ``doc_id``, ``held_out``, ``sizes`` (tokens of
+    each text, its end token included), ``words`` (hashes of the distinct tokens) and ``codes`` (index into them of each token), both
+    packed; saved, so row numbers are stable."""
     ready(docs.sparkSession)
     work = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
         F.col("text").cast("string").alias("text"))
-    schema = T.StructType([*work.schema.fields[:3], T.StructField("tokens", T.ArrayType(T.LongType())),
-                           T.StructField("_block", T.LongType())])
+    schema = T.StructType([*_long("_block"), *[T.StructField(f.name, T.ArrayType(f.dataType)) for f in work.schema.fields[:3]],
+                           *_longs("sizes"), *_binary("words", "codes")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, offsets = hash_words(batch.column(3), SPACED)
-            values = np.insert(hashes, offsets[1:], END).view(np.int64)
-            ends = pa.array(offsets + np.arange(len(offsets)), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.ListArray.from_arrays(ends, pa.array(values)),
-                 pa.array(np.full(len(batch), batch.column(0)[0].as_py() if len(batch) else 0))],
-                names=["_row", "doc_id", "held_out", "tokens", "_block"])
+            if len(batch):
+                hashes, offsets = hash_words(batch.column(3), SPACED)
+                words, codes = _groups(np.insert(hashes, offsets[1:], END))
+                whole = pa.array([0, len(batch)], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[:1], *[pa.ListArray.from_arrays(whole, x) for x in (*batch.columns[:3], pa.array(np.diff(offsets) + 1))],
+                     _packed(words, [0, len(words)]), _packed(codes.astype(np.int32), [0, len(codes)])], names=schema.names)
 
     return saved(work.mapInArrow(run, schema))
 
 
-def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(values, lengths, place in its list of every value)."""
-    edges = lists.offsets.to_numpy()
-    sizes = np.diff(edges)
-    return (lists.values.to_numpy()[edges[0] : edges[-1]], sizes,
-            np.arange(edges[-1] - edges[0]) - np.repeat(edges[:-1] - edges[0], sizes))
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """Per block (columns _row, sizes, words, codes): row, size and words; and of every token its code and its place in its text."""
+    for i in range(len(batch)):
+        sizes = _listed(batch.column(1), i)
+        words, codes = _unpacked(batch.column(2).slice(i, 1), U), _unpacked(batch.column(3).slice(i, 1), np.int32)
+        yield _listed(batch.column(0), i), sizes, words, codes, np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def _find(sorted_values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,27 +154,28 @@ def events(toks: DataFrame, levels: Sequence[int], shard: int = 0, shards: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, sizes, place = _flat(batch.column(1))
-            flat = flat.view(U)
-            row = np.repeat(batch.column(0).to_numpy(), sizes)
-            for first in (True, False):  # the root, then the deeper levels, which share their positions
-                at = np.arange(len(flat)) if first else np.flatnonzero(place > 0)
-                at = at[flat[at if first else at - 1].view(np.int64) % shards == shard]
-                ctx = np.full(len(at), END)
-                for j in (0,) if first else range(1, max(levels) + 1):
-                    parent = ctx
-                    if j:
-                        enough = place[at] >= j
-                        at, parent = at[enough], ctx[enough]
-                        ctx = mix(parent * _CHAIN + flat[at - j])
-                    if j in levels and len(at):
-                        own = slice(None) if within is None else _find(within, parent)[1]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(row[at[own]]), pa.array(np.full(len(at[own]), j, np.int32)),
-                             *[pa.array(c.view(np.int64)) for c in (ctx[own], parent[own], flat[at[own]])]],
-                            names=["_row", "j", "ctx", "parent", "w"])
-
-    return toks.select("_row", "tokens").mapInArrow(run, schema)
+            for rows, sizes, words, codes, place in _texts(batch):
+                yield from block(words[codes], place, np.repeat(rows, sizes))
+
+    def block(flat: np.ndarray, place: np.ndarray, row: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for first in (True, False):  # the root, then the deeper levels, which share their positions
+            at = np.arange(len(flat)) if first else np.flatnonzero(place > 0)
+            at = at[flat[at if first else at - 1].view(np.int64) % shards == shard]
+            ctx = np.full(len(at), END)
+            for j in (0,) if first else range(1, max(levels) + 1):
+                parent = ctx
+                if j:
+                    enough = place[at] >= j
+                    at, parent = at[enough], ctx[enough]
+                    ctx = mix(parent * _CHAIN + flat[at - j])
+                if j in levels and len(at):
+                    own = slice(None) if within is None else _find(within, parent)[1]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(row[at[own]]), pa.array(np.full(len(at[own]), j, np.int32)),
+                         *[pa.array(c.view(np.int64)) for c in (ctx[own], parent[own], flat[at[own]])]],
+                        names=["_row", "j", "ctx", "parent", "w"])
+
+    return toks.select("_row", "sizes", "words", "codes").mapInArrow(run, schema)
 
 
 def _chain(flat: np.ndarray, at: np.ndarray, place: np.ndarray, depth: int) -> list[np.ndarray]:
@@ -179,10 +202,6 @@ def _keys(chain: list[np.ndarray], place: np.ndarray, row: np.ndarray, hot: Sequ
     return key, deep
 
 
-def _lists(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values))
-
-
 def _groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct values, index of each value among them); no stable sort, as ``np.unique`` takes with indices."""
     order = np.argsort(values)
@@ -202,76 +221,82 @@ def _longs(*names: str) -> list[T.StructField]:
     return [T.StructField(n, T.ArrayType(T.LongType())) for n in names]
 
 
-def train_root(toks: DataFrame, folder: str | None = None) -> tuple[DataFrame, dict]:
-    """The empty context: the number ``n`` of training tokens, ``v`` of distinct ones and ``a`` of all tokens; and the texts with
-    ``counts``, c of each token, ``n_tokens``, ``n_known``, ``base`` and ``x``, the log10 probability of the first token.
+def _binary(*names: str) -> list[T.StructField]:
+    return [T.StructField(n, T.BinaryType()) for n in names]
+
+
+def train_root(toks: DataFrame, folder: str | None = None, hot_least: int = HOT_LEAST) -> tuple[DataFrame, dict]:
+    """The empty context: the number ``n`` of training tokens, ``v`` of distinct ones and ``a`` of all tokens, ``large`` (tokens
+    that occur more than ``hot_least`` times); and the texts with ``c``, counts of ``words``, packed, and lists ``n_known``, ``base`` and
+    ``x``, the log10 probability of the first token.
 
     A row is the distinct words of a block that fall into one part: parts sum the counts, blocks get them back.
     """
-    schema = T.StructType([*_long("_block", "part"), *_longs("w", "m", "a")])
-    parts = max(16, toks.count() // WORD_TEXTS)
+    schema = T.StructType([*_long("_block", "part"), *_binary("w", "m", "a")])
+    parts = max(16, toks.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, sizes, _ = _flat(batch.column(2))
-            block, learnt = batch.column(0).to_numpy(), ~batch.column(1).to_numpy(zero_copy_only=False)
-            for b in np.unique(block):
-                own = np.repeat(block == b, sizes)
-                w, i = _groups(flat[own])
-                m = np.bincount(i, np.repeat(learnt, sizes)[own], minlength=len(w)).astype(np.int64)
-                part = (w.view(U) % U(parts)).astype(np.int64)
+            for i, (_, sizes, w, codes, _) in enumerate(_texts(batch)):
+                learnt = np.repeat(~_listed(batch.column(4), i).astype(bool), sizes)
+                m = np.bincount(codes, learnt, minlength=len(w)).astype(np.int64)
+                part = (w % U(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 found, first = np.unique(part[order], return_index=True)
                 edges = np.append(first, len(w))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(found), b)), pa.array(found),
-                     *[_lists(x[order], edges) for x in (w, m, np.bincount(i, minlength=len(w)))]], names=schema.names)
+                    [pa.array(np.full(len(found), batch.column(5)[i].as_py())), pa.array(found),
+                     *[_packed(x[order], edges) for x in (w, m, np.bincount(codes, minlength=len(w)))]], names=schema.names)
 
     def total(rows: pa.Table) -> pa.Table:
-        w, m, a = [_flat(rows[x].combine_chunks())[0] for x in ("w", "m", "a")]
-        sizes = _flat(rows["w"].combine_chunks())[1]
+        w, m, a = [_unpacked(rows[x], np.int64) for x in ("w", "m", "a")]
+        sizes = np.array([len(x.as_buffer()) // 8 for x in rows["w"]])
         words, i = _groups(w)
         c = np.bincount(i, m, minlength=len(words)).astype(np.int64)
         every = np.bincount(i, a, minlength=len(words)).astype(np.int64)
         edges = np.append(0, np.cumsum(sizes))
-        own = pa.table([rows["_block"], _lists(w, edges), _lists(c[i], edges), _lists(np.empty(0, np.int64), np.zeros(len(sizes) + 1))],
-                       names=["_block", "w", "c", "a"])
-        all_words = pa.table([pa.nulls(1, pa.int64()), *[_lists(x, np.array([0, len(words)])) for x in (words, c, every)]],
-                             names=own.column_names)
-        return pa.concat_tables([own, all_words])
+        own = [rows["_block"].combine_chunks(), _packed(w, edges), _packed(c[i], edges)]
+        whole = [pa.nulls(1, pa.int64()), *[_packed(x, [0, len(words)]) for x in (words, c)]]
+        top = np.flatnonzero(every > hot_least)
+        zeros = pa.array(np.zeros(len(sizes), np.int64))
+        return pa.table([
+            *[pa.concat_arrays([x, y]) for x, y in zip(own, whole, strict=True)],
+            *[pa.concat_arrays([zeros, pa.array([int(x)])]) for x in (c.sum(), (c > 0).sum(), every.sum())],
+            *[pa.concat_arrays([pa.ListArray.from_arrays(pa.array(np.zeros(len(sizes) + 1), pa.int32()), pa.array(x[:0])),
+                                pa.ListArray.from_arrays(pa.array([0, len(top)], pa.int32()), pa.array(x[top]))]) for x in (words, every)]],
+            names=["_block", "words", "c", "n", "v", "a", "top", "top_a"])
 
     summed = saved(
-        toks.select("_block", "held_out", "tokens").mapInArrow(run, schema).groupBy("part")
-        .applyInArrow(total, T.StructType([*_long("_block"), *_longs("w", "c", "a")])), folder and f"{folder}/counts")
-    counts = summed.filter("_block IS NULL")
-    found = counts.select(*[F.aggregate(x, F.lit(0).cast("long"), lambda s, y: s + y).alias(x) for x in "ca"],
-                          F.size(F.filter("c", lambda y: y > 0)).alias("v")).agg(F.sum("c").alias("n"), F.sum("v").alias("v"), F.sum("a").alias("a")).first()
+        toks.select("_row", "sizes", "words", "codes", "held_out", "_block").mapInArrow(run, schema).groupBy("part").applyInArrow(
+            total, T.StructType([*_long("_block"), *_binary("words", "c"), *_long("n", "v", "a"), *_longs("top", "top_a")])),
+        folder and f"{folder}/counts")
+    found = summed.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("a").alias("a")).first()
+    large = summed.filter("_block IS NULL").select(F.inline(F.arrays_zip(F.col("top").alias("w"), F.col("top_a").alias("a"))))
     n, v = int(found["n"] or 0), int(found["v"] or 0)
     denominator = n + 0.5 * (v + 1)
-    fields = toks.drop("_block").schema.fields
-    schema = T.StructType([*fields, *_longs("counts"), *_long("n_tokens", "n_known"), T.StructField("base", T.DoubleType()),
-                           T.StructField("x", T.DoubleType())])
-
-    def attach(texts: pa.Table, block: pa.Table) -> pa.Table:
-        flat, sizes, place = _flat(texts["tokens"].combine_chunks())
-        w, c = [_flat(block[x].combine_chunks())[0] for x in "wc"]
-        order = np.argsort(w)
-        words, i = _groups(flat)  # the block's words, each once
-        c = c[order][i]
-        x = np.log10((c + 0.5) / denominator)
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        add = lambda values: np.bincount(owner, values, minlength=len(sizes))
-        return pa.table([*[texts[f.name] for f in fields], _lists(c, np.append(0, np.cumsum(sizes))), pa.array(sizes.astype(np.int64)),
-                         pa.array(add(c > 0).astype(np.int64)), pa.array(add(x)), pa.array(add(x * (place == 0)))], names=schema.names)
-
-    known = summed.filter("_block IS NOT NULL").select("_block", "w", "c")
+    schema = T.StructType([*toks.schema.fields, *_binary("c"), *_longs("n_known"), T.StructField("base", T.ArrayType(T.DoubleType())),
+                           T.StructField("x", T.ArrayType(T.DoubleType()))])
+
+    def attach(texts: pa.Table, known: pa.Table) -> pa.Table:
+        batch = texts.select(["_row", "sizes", "words", "codes"]).combine_chunks().to_batches()[0]
+        (_, sizes, words, codes, place), = _texts(batch)
+        order = np.argsort(_unpacked(known["words"], U))  # the block's words, each once, as ``words``
+        c = _unpacked(known["c"], np.int64)[order]
+        x = np.log10((c + 0.5) / denominator)[codes]
+        start = np.cumsum(sizes) - sizes
+        whole = pa.array([0, len(sizes)], pa.int32())
+        lists = [pa.ListArray.from_arrays(whole, pa.array(y)) for y in (
+            np.add.reduceat((c > 0)[codes].astype(np.int64), start), np.add.reduceat(x, start), x[start])]
+        return pa.table([*texts.columns, _packed(c, [0, len(c)]), *lists], names=schema.names)
+
+    known = summed.filter("_block IS NOT NULL").select("_block", "words", "c")
     texts = saved(toks.groupBy("_block").cogroup(known.groupBy("_block")).applyInArrow(attach, schema))
-    return texts, {"counts": counts, "n": n, "v": v, "a": int(found["a"] or 0), "denominator": denominator}
+    return texts, {"large": large, "n": n, "v": v, "a": int(found["a"] or 0), "denominator": denominator}
 
 
 def positions(texts: DataFrame, depth: int, hot: Sequence[dict], parts: int, shard: int = 0, shards: int = 1) -> DataFrame:
-    """The positions behind a token that fall into parts of the shard (part % shards), one row per batch of texts and part: ``part``
-    and lists ``_row``, ``w``, ``c1`` .. (contexts), ``c`` (of w in training), ``tag`` (the number of a position's contexts, plus
+    """The positions behind a token that fall into parts of the shard (part % shards), one row per block of texts and part: ``part``
+    and, packed, ``_row``, ``w``, ``c1`` .. (contexts), ``c`` (of w in training), ``tag`` (the number of a position's contexts, plus
     depth + 1 if it is learnt from)."""
     names = ["_row", "w", *[f"c{k}" for k in range(1, depth + 1)], "c", "tag"]
 
@@ -292,18 +317,19 @@ def positions(texts: DataFrame, depth: int, hot: Sequence[dict], parts: int, sha
             found, first = np.unique(part, return_index=True)
             edges = np.append(first, len(part))
             tag = np.minimum(place[at], depth) + (depth + 1) * learnt[at]
-            yield pa.RecordBatch.from_arrays([pa.array(found), *[_lists(x, edges) for x in (
-                row[at], flat[at].view(np.int64), *[c[own].view(np.int64) for c in chain], counts[at], tag)]], names=["part", *names])
+            yield pa.RecordBatch.from_arrays([pa.array(found), *[_packed(x, edges) for x in (
+                row[at], flat[at], *[c[own] for c in chain], counts[at], tag)]], names=["part", *names])
 
-    return texts.select("_row", "held_out", "tokens", "counts").mapInArrow(run, T.StructType([*_long("part"), *_longs(*names)]))
+    return texts.select("_row", "sizes", "words", "codes", "held_out", "c").mapInArrow(run, T.StructType([*_long("part"), *_binary(*names)]))
 
 
 def _behind(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Per batch of texts: the tokens behind another one, and of every token its place, row, whether it is learnt from, itself and its count."""
+    """Per block: the tokens behind another one, and of every token its place, row, whether it is learnt from, itself and its count."""
     for batch in batches:
-        flat, sizes, place = _flat(batch.column(2))
-        yield (np.flatnonzero(place > 0), place, np.repeat(batch.column(0).to_numpy(), sizes),
-               np.repeat(~batch.column(1).to_numpy(zero_copy_only=False), sizes), flat.view(U), _flat(batch.column(3))[0])
+        for i, (rows, sizes, words, codes, place) in enumerate(_texts(batch)):
+            learnt = np.repeat(~_listed(batch.column(4), i).astype(bool), sizes)
+            yield (np.flatnonzero(place > 0), place, np.repeat(rows, sizes), learnt, words[codes],
+                   _unpacked(batch.column(5).slice(i, 1), np.int64)[codes])
 
 
 def hot_pairs(texts: DataFrame, depth: int, hot: Sequence[dict], k: int, parts: int) -> DataFrame:
@@ -324,7 +350,7 @@ def hot_pairs(texts: DataFrame, depth: int, hot: Sequence[dict], k: int, parts:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
                 *[y[one].view(np.int64) for y in (part, ctx, parent, flat[at])], m, counts[at][one])], names=schema.names)
 
-    return texts.select("_row", "held_out", "tokens", "counts").mapInArrow(run, schema)
+    return texts.select("_row", "sizes", "words", "codes", "held_out", "c").mapInArrow(run, schema)
 
 
 def train_hot(texts: DataFrame, root: dict, depth: int, min_count: int, divergence: float, beta: float,
@@ -336,7 +362,7 @@ def train_hot(texts: DataFrame, root: dict, depth: int, min_count: int, divergen
     for k in range(1, depth + 1):
         if k == 1:
             large = [(mix(np.full(1, END_CHAIN) + U(r["w"] % 2**64))[0], r["a"])
-                     for r in root["counts"].select(F.inline(F.arrays_zip("w", "a"))).filter(F.col("a") > limit).collect()]
+                     for r in root["large"].filter(F.col("a") > limit).collect()]
         else:
             large = [(U(r["ctx"] % 2**64), r["a"]) for r in events(texts, [k], within=hot[-1]["ctx"]).groupBy("ctx").agg(
                 F.count(F.lit(1)).alias("a")).filter(F.col("a") > limit).collect()]
@@ -374,8 +400,9 @@ def score_shard(texts: DataFrame, root: dict, depth: int, min_count: int, diverg
     n, denominator = root["n"], root["denominator"]
 
     def run(dealt: pa.Table, told: pa.Table) -> pa.Table:
-        row, w, *chain, count, tag = [_flat(dealt[i].combine_chunks())[0] for i in range(1, depth + 5)]
-        w, told = w.view(U), [told[x].to_numpy() for x in ("k", "ctx", "w", "c")]
+        row, w, *chain, count, tag = [_unpacked(dealt[i], np.int64) for i in range(1, depth + 5)]
+        told = told["told"].combine_chunks().flatten()
+        w, told = w.view(U), [told.field(x).to_numpy() for x in ("k", "ctx", "w", "c")]
         place, learnt = tag % (depth + 1), (tag > depth).astype(float)
         x = np.log10((count + 0.5) / denominator)  # of the longest kept context so far, with its counts of the token and of all
         c_p, cs_p, at = count.astype(float), np.full(len(x), float(n)), np.arange(len(x))
@@ -416,7 +443,8 @@ def score_shard(texts: DataFrame, root: dict, depth: int, min_count: int, diverg
         start = np.flatnonzero(np.append(True, row[1:] != row[:-1]))  # positions of a text are together in a part
         return pa.table([pa.array(row[start]), pa.array(np.add.reduceat(x, start))], names=schema.names)
 
-    sent = sent.filter(F.pmod("part", F.lit(shards)) == shard)
+    sent = sent.filter(F.pmod("part", F.lit(shards)) == shard).groupBy("part").agg(
+        F.collect_list(F.struct("k", "ctx", "w", "c")).alias("told"))
     both = positions(texts, depth, hot, parts, shard, shards).groupBy("part").cogroup(sent.groupBy("part"))
     return both.applyInArrow(lambda dealt, told: run(dealt, told) if len(dealt) else pa.table([[], []], schema=pa.schema(
         [("_row", pa.int64()), ("x", pa.float64())])), schema)
@@ -433,11 +461,13 @@ def lm_scores(docs: DataFrame, depth: int = DEPTH, rounds: int | None = None, mi
     before, rows = spark.conf.get(_RELEASE, "false"), spark.conf.get(_BATCH_ROWS)
     spark.conf.set(_RELEASE, "true")
     try:
-        texts, root = train_root(tokens(docs), folder)
+        toks = tokens(docs)
         spark.conf.set(_BATCH_ROWS, BATCH)
+        texts, root = train_root(toks, folder, limit or HOT_LEAST)
         rounds = rounds or min(ROUNDS, 1 + root["n"] // ROUND_TOKENS)
         limit = limit or min(HOT_MOST, max(HOT_LEAST, root["a"] // HOT_SHARE))
-        parts = [texts.select("_row", "x")]
+        each = texts.select(F.inline(F.arrays_zip("_row", "doc_id", "held_out", F.col("sizes").alias("n_tokens"), "n_known", "base", "x")))
+        parts = [each.select("_row", "x")]
         if depth:
             test = (depth, min_count, divergence, beta)
             dealt = rounds * max(2 * spark.sparkContext.defaultParallelism, -(-root["a"] // (rounds * PART_POSITIONS)))
@@ -450,6 +480,6 @@ def lm_scores(docs: DataFrame, depth: int = DEPTH, rounds: int | None = None, mi
     for part in parts[1:]:
         every = every.unionByName(part)
     per_row = every.groupBy("_row").agg(F.sum("x").alias("score"))
-    return texts.join(per_row, "_row").select(
+    return each.join(per_row, "_row").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(root["n"]).cast("long").alias("train_tokens"),
         F.col("base").alias("base_score"), "score")

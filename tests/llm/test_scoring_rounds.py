@@ -66,9 +66,9 @@ def test_hot_contexts_give_the_scores_of_one_model(spark, limit):
 def test_positions_of_a_hot_context_are_dealt_to_many_parts(spark):
     docs = spark.createDataFrame([(i, "a a a " + " ".join(f"x{i * j % 17}" for j in range(12)) + " a") for i in range(60)],
                                  "doc_id long, text string")
-    texts, root = suffix_tree.train_root(suffix_tree.tokens(docs))
+    texts, root = suffix_tree.train_root(suffix_tree.tokens(docs), hot_least=30)
     hot, sent = suffix_tree.train_hot(texts, root, 3, 3, 2.0, 1.0, 30, 1000)
-    dealt = [r for r in suffix_tree.positions(texts, 3, hot, 1000).selectExpr("part", "size(w) AS n").collect()]
+    dealt = [r for r in suffix_tree.positions(texts, 3, hot, 1000).selectExpr("part", "length(w) div 8 AS n").collect()]
     most = max(sum(r["n"] for r in dealt if r["part"] == part) for part in {r["part"] for r in dealt})
     assert len(hot) == 3 and most <= 60 and sum(r["n"] for r in dealt) == 60 * 16
     pairs = [(r["part"], r["ctx"], r["w"]) for r in sent.collect()]
@@ -78,7 +78,7 @@ def test_positions_of_a_hot_context_are_dealt_to_many_parts(spark):
 def test_a_round_moves_every_position_once(spark):
     """Failed while every level was joined and every (position, context) row matched with the kept contexts."""
     docs = spark.createDataFrame([(i, f"a b c a b {i % 3}") for i in range(40)], "doc_id long, text string")
-    texts, root = suffix_tree.train_root(suffix_tree.tokens(docs))
+    texts, root = suffix_tree.train_root(suffix_tree.tokens(docs), hot_least=30)
     hot, sent = suffix_tree.train_hot(texts, root, 3, 3, 2.0, 1.0, 1000, 8)
     scores = suffix_tree.score_shard(texts, root, 3, 3, 2.0, 1.0, hot, sent, 8)
     plan = scores._jdf.queryExecution().optimizedPlan().toString()
