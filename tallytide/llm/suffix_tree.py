@@ -103,7 +103,7 @@ def _listed(column: pa.Array, i: int) -> np.ndarray:
     return column[i].values.to_numpy(zero_copy_only=False)
 
 
-def tokens(docs: DataFrame) -> DataFrame:
+def tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
     """One row per block of texts (those hashed at once): ``_block`` and lists ``_row``, ``doc_id``, ``held_out``, ``sizes`` (tokens of
     each text, its end token included), ``words`` (hashes of the distinct tokens) and ``codes`` (index into them of each token), both
     packed; saved, so row numbers are stable."""
@@ -124,7 +124,7 @@ def tokens(docs: DataFrame) -> DataFrame:
                     [batch.column(0)[:1], *[pa.ListArray.from_arrays(whole, x) for x in (*batch.columns[:3], pa.array(np.diff(offsets) + 1))],
                      _packed(words, [0, len(words)]), _packed(codes.astype(np.int32), [0, len(codes)])], names=schema.names)
 
-    return saved(work.mapInArrow(run, schema))
+    return saved(work.mapInArrow(run, schema), path)
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
@@ -461,9 +461,10 @@ def lm_scores(docs: DataFrame, depth: int = DEPTH, rounds: int | None = None, mi
     before, rows = spark.conf.get(_RELEASE, "false"), spark.conf.get(_BATCH_ROWS)
     spark.conf.set(_RELEASE, "true")
     try:
-        toks = tokens(docs)
+        toks = tokens(docs, f"{folder}/tokens")
         spark.conf.set(_BATCH_ROWS, BATCH)
         texts, root = train_root(toks, folder, limit or HOT_LEAST)
+        saved(spark.createDataFrame([], toks.schema), f"{folder}/tokens")  # the texts hold them now
         rounds = rounds or min(ROUNDS, 1 + root["n"] // ROUND_TOKENS)
         limit = limit or min(HOT_MOST, max(HOT_LEAST, root["a"] // HOT_SHARE))
         each = texts.select(F.inline(F.arrays_zip("_row", "doc_id", "held_out", F.col("sizes").alias("n_tokens"), "n_known", "base", "x")))
