@@ -33,6 +33,8 @@ from tallytide.operators.windows import (
     observation_index,
     rolling_stats,
 )
+from tallytide.scale import released_checkpoint
+from tallytide.series import SeriesSpec
 
 
 @query("ffill", "WITH " + FILLED_SQL + " SELECT event_id, x FROM filled WHERE x IS NOT NULL")
@@ -314,8 +316,10 @@ SELECT l_suppkey, n, round(adf_stat, 4) AS adf_stat, adf_lag, round(kpss_stat, 4
 def retest_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The running sums of the quantities wander; their differences do not."""
     upto = Window.partitionBy(*LINES.key).orderBy(*LINES.order_by)
-    sums = lines(spark, sf_dir).withColumn("level", F.sum(F.col("l_quantity") - 25.5).over(upto))
-    levels = LINES.of("level")
+    sums = lines(spark, sf_dir).select(
+        *LINES.key, F.row_number().over(upto).alias("at"), F.sum(F.col("l_quantity") - 25.5).over(upto).alias("level"))
+    # both rounds of tests pass over the sums many times: they are made and shuffled once, without the columns of the order
+    sums, levels = released_checkpoint(sums), SeriesSpec(LINES.key, "at", "level")
     out = diagnostics.retest_differences(sums, levels, diagnostics.stationarity(sums, levels), diagnostics.MIN_TEST_ROWS)
     return out.select(
         "l_suppkey", "n", r("adf_stat", 4).alias("adf_stat"), F.col("adf_lag").cast("long").alias("adf_lag"),

@@ -25,6 +25,7 @@ BROADCAST_BYTES = "spark.tallytide.broadcastBytes"
 _DEFAULTS = {TASK_ROWS: 5_000_000, BROADCAST_BYTES: 64 * 1024 * 1024}
 
 _SALT, _SALTS = "_salt", "_salts"
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def bound(spark: SparkSession, name: str) -> int:
@@ -47,6 +48,17 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def released_checkpoint(df: DataFrame) -> DataFrame:
+    """A checkpoint whose shuffle files go once it is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(_RELEASE, None)
+    conf.set(_RELEASE, "true")
+    try:
+        return reliable_checkpoint(df)
+    finally:
+        conf.unset(_RELEASE) if before is None else conf.set(_RELEASE, before)
+
+
 def null_safe_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", sized: bool = False
 ) -> DataFrame:
